@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakerisk.sources.schemas import RUN_RECORD_SCHEMA
+from lakerisk.sources.schemas import RUN_RECORD_DDL
 
 CORRUPT = "_corrupt_record"
 
@@ -56,9 +56,8 @@ def read_run_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     A record is valid when run id, model, variant, dataset version and the mean
     cross-validation score are present; the others keep the reasons and the raw text.
     """
-    schema = T.StructType([*RUN_RECORD_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
     records = (
-        spark.read.schema(schema)
+        spark.read.schema(f"{RUN_RECORD_DDL}, {CORRUPT} string")
         .options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
         .json(path)
     )

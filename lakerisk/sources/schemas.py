@@ -69,25 +69,30 @@ REGISTER_HEADERS = {
 }
 
 
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "string": T.StringType(),
+}
+
+
 def _struct(columns, required: tuple[str, ...] = ()) -> T.StructType:
-    text = ", ".join(
-        f"`{name}` {kind}" + (" NOT NULL" if name in required else "") for name, kind, _ in columns
-    )
-    return T.StructType.fromDDL(text)
+    return T.StructType([T.StructField(name, _TYPES[kind], name not in required) for name, kind, _ in columns])
 
 
 REGISTRY_SCHEMA = _struct(REGISTRY_COLUMNS, required=("RUC",))
 ORDERS_SCHEMA = _struct(ORDER_COLUMNS)
 
-RUN_RECORD_SCHEMA = T.StructType.fromDDL(
-    """run_id string, fecha string, git_commit string, dataset_version string, variant string,
+RUN_RECORD_DDL = """
+    run_id string, fecha string, git_commit string, dataset_version string, variant string,
     model_name string, usa_pesos boolean, hiperparametros_ganadores map<string,string>,
     grilla_probada map<string,string>, n_train bigint, n_test bigint,
     n_positivos_train bigint, n_positivos_test bigint, ruta_modelo string, ruta_predicciones string,
     semilla bigint, n_features_transformadas bigint, segundos_entrenamiento double,
     metricas_cv struct<cv_pr_auc_mean: double, cv_pr_auc_std: double, cv_pr_auc_folds: array<double>,
     train_pr_auc: double, cv_recall_1pct_mean: double, cv_recall_1pct_std: double>"""
-)
 
 # name -> (version, raw schema). A schema change needs a new version.
 CONTRACTS: dict[str, tuple[str, T.StructType]] = {

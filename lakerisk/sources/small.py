@@ -102,7 +102,8 @@ def oldest_per_key(df: DataFrame, key: str = "entity_id", date: str = "issue_dat
     `min` of a struct aggregates before the shuffle, so a key with many rows is cheap.
     """
     rest = [c for c in df.columns if c not in (key, date)]
-    oldest = F.min(F.struct(date, *rest)).alias("_row")
+    undated = F.col(date).isNull().alias("_undated")
+    oldest = F.min(F.struct(undated, date, *rest)).alias("_row")
     return df.groupBy(key).agg(oldest).select(key, *[F.col(f"_row.{c}") for c in (date, *rest)])
 
 
