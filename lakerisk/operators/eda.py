@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakerisk.functions.numbers import percent
+from lakerisk.operators.quantiles import exact_quantiles
 
 
 def class_balance(df: DataFrame, target: str = "positive") -> DataFrame:
@@ -53,20 +54,27 @@ def correlations(df: DataFrame, columns: Sequence[str], strong: float = 0.7) ->
 def describe(df: DataFrame, value: str, by: Sequence[str] = (), exact: bool = False) -> DataFrame:
     """Count, mean, spread, minimum, quartiles and maximum of the positive values.
 
-    Quartiles are mergeable sketches unless `exact` is asked for.
+    Quartiles are mergeable sketches in the same pass, unless `exact` asks for an
+    ordered pass over the distinct values.
     """
-    x = F.col(value).cast("double")
-    quart: list[Column] = []
-    for name, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
-        quart.append((F.percentile(x, F.lit(q)) if exact else F.percentile_approx(x, q, 10000)).alias(name))
-    return df.filter(F.col(value) > 0).groupBy(*by).agg(
+    marks = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    positive = df.filter(F.col(value) > 0).select(*by, F.col(value).cast("double").alias("x"))
+    sketches = [] if exact else [F.percentile_approx("x", q, 10000).alias(n) for n, q in marks.items()]
+    summary = positive.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
-        F.avg(x).alias("mean"),
-        F.stddev_samp(x).alias("spread"),
-        F.min(x).alias("least"),
-        *quart,
-        F.max(x).alias("greatest"),
+        F.avg("x").alias("mean"),
+        F.stddev_samp("x").alias("spread"),
+        F.min("x").alias("least"),
+        *sketches,
+        F.max("x").alias("greatest"),
     )
+    if not exact:
+        return summary
+    quartiles = exact_quantiles(positive, "x", marks, by).withColumnsRenamed({c: f"_{c}" for c in by})
+    if not by:
+        return summary.withColumns({n: quartiles.select(n).scalar() for n in marks})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    return summary.join(quartiles, same).drop(*[f"_{c}" for c in by])
 
 
 def value_histogram(df: DataFrame, value: str, bins: int = 60) -> DataFrame:

@@ -205,7 +205,8 @@ def exclusion_flag(exclusions: DataFrame) -> DataFrame:
 
 def regional_rate(summary: DataFrame) -> DataFrame:
     """(region, rate) pairs; raises when a region has two rates, which would repeat rows."""
-    rates = summary.select("region", F.col("informal_pct").alias("regional_informal_pct")).distinct()
+    named = summary.filter(F.col("region").isNotNull())
+    rates = named.select("region", F.col("informal_pct").alias("regional_informal_pct")).distinct()
     twice = rates.groupBy("region").count().filter(F.col("count") > 1).limit(5).collect()
     if twice:
         raise ValueError(f"regional summary has several rates for {[r['region'] for r in twice]}")

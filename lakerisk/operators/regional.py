@@ -49,11 +49,11 @@ def informality_by_region(survey: DataFrame) -> DataFrame:
     return per_code.select("region", (F.col("informal") / F.nullif("every", F.lit(0.0)) * 100).alias("informal_pct"))
 
 
-def revenue_by_region(revenue: DataFrame, year: int | None = None) -> DataFrame:
-    """Revenue per canonical region. Roll-up rows are dropped so nothing counts twice."""
+def revenue_by_region(revenue: DataFrame, year: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Revenue per canonical region (and `by`). Roll-up rows are dropped so nothing counts twice."""
     rows = revenue if year is None or "year" not in revenue.columns else revenue.filter(F.col("year") == year)
     single = rows.filter(~F.upper(F.trim("region")).isin(ROLLUP_ROWS))
-    return single.groupBy(normalise_region(F.col("region")).alias("region")).agg(
+    return single.groupBy(normalise_region(F.col("region")).alias("region"), *by).agg(
         money_sum(F.col("amount")).alias("revenue")
     )
 

@@ -134,9 +134,9 @@ def revenue_long(wide: DataFrame, region_cells: tuple[str, str]) -> DataFrame:
     months = [c for c in wide.columns if c not in region_cells]
     named = wide.select(
         region_display(*[F.col(c) for c in region_cells]).alias("region"),
-        *[F.col(c).cast("string").alias(c) for c in months],
+        *[F.col(f"`{c}`").cast("string").alias(c) for c in months],
     )
-    long = named.filter(F.col("region") != "").unpivot("region", months, "cell", "text")
+    long = named.filter(F.col("region") != "").unpivot("region", [f"`{c}`" for c in months], "cell", "text")
     year = F.split_part(F.col("cell"), F.lit("_"), F.lit(1))
     month = month_label(F.split_part(F.col("cell"), F.lit("_"), F.lit(2)))
     return long.filter(month.isNotNull()).select(
