@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from lakerisk.config import FOLDS, SPLIT_SEED, TEST_SHARE
 from lakerisk.functions.dates import closed_month_end
 from lakerisk.functions.ids import order_hash, padded_id
-from lakerisk.operators.encoding import encode_out_of_fold, standard_encodings
+from lakerisk.operators.encoding import encode_all, standard_encodings
 from lakerisk.operators.ordering import with_rank, with_running_totals
+from lakerisk.session import stage_table
 from lakerisk.sources.small import oldest_per_key, require_columns
 
 # Entity types that ever occur among the positives, and the active state.
@@ -118,6 +119,8 @@ def assign_folds(
     block of its first member, which follows from the running total of group sizes,
     so no member-level ordering is needed.
     """
+    # Read three times below; stored, the narrow rows are computed once.
+    split = stage_table(split, "split")
     train, positive = F.col("split") == "train", F.col("label") == 1
     winners = split.filter(train & positive)
     sizes = winners.groupBy("group").agg(
@@ -157,18 +160,17 @@ def curate(
     """Features to the curated table: id, label, split, fold, features and encodings.
 
     Split and folds are decided on narrow rows and joined back by id, so the wide
-    feature rows are shuffled once and never sorted.
+    feature rows are shuffled once and never sorted. Pass stored features: they are
+    read twice, for the narrow rows and for the table itself.
     """
     labelled = attach_label(drop_excluded(features, exclusions), register)
     if cutoff is not None:
         labelled = within_label_window(labelled, cutoff, label_end(register))
     placed = assign_folds(assign_split(split_keys(labelled), seed=seed, hash_kind=hash_kind), seed=seed, hash_kind=hash_kind)
-    dataset = labelled.join(placed.select("id", "split", "fold"), "id")
-    for name, needed, key in standard_encodings():
-        if set(needed) <= set(dataset.columns):
-            dataset = encode_out_of_fold(dataset, key, name)
     dropped = ["entity_id", "representative"] + ([] if keep_dates else ["issue_date", "firm_date"])
-    return dataset.drop(*dropped)
+    dataset = stage_table(labelled.join(placed.select("id", "split", "fold"), "id").drop(*dropped), "placed")
+    have = set(dataset.columns)
+    return encode_all(dataset, [(name, key) for name, needed, key in standard_encodings() if set(needed) <= have])
 
 
 def label_coverage(features: DataFrame, register: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,13 +80,29 @@ def encode_out_of_fold(
     weight: Column | None = None,
 ) -> DataFrame:
     """Add `name`: the encoding fitted on the train part, never on a row's own fold."""
+    return encode_all(dataset, [(name, key)], m, folds, weight)
+
+
+def encode_all(
+    dataset: DataFrame,
+    encodings: Sequence[tuple[str, Column]],
+    m: float = ENCODING_WEIGHT,
+    folds: int = FOLDS,
+    weight: Column | None = None,
+) -> DataFrame:
+    """Add several encodings, all fitted on the rows as given.
+
+    Pass a stored table: the rates of every encoding and the prevalence read it once
+    each, with only the columns they need.
+    """
     train = dataset.filter(F.col("split") == "train")
-    if weight is None:
-        mean = F.avg(F.col("label").cast("double"))
-    else:
-        mean = F.sum(weight * F.col("label")) / F.sum(weight)
+    one = F.lit(1) if weight is None else weight
+    mean = F.sum(one * F.col("label")).cast("double") / F.nullif(F.sum(one).cast("double"), F.lit(0.0))
     prevalence = train.select(F.coalesce(mean, F.lit(0.0)).alias("prevalence")).scalar()
-    return apply_rates(dataset, category_rates(train, key, folds, weight), key, name, prevalence, m, folds)
+    out = dataset
+    for name, key in encodings:
+        out = apply_rates(out, category_rates(train, key, folds, weight), key, name, prevalence, m, folds)
+    return out
 
 
 def negative_weight(dataset: DataFrame, per_positive: int) -> Column:

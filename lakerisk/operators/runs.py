@@ -85,22 +85,23 @@ def choose_champion(results: DataFrame) -> DataFrame:
     )
     complete = candidates.select(F.count_if(F.col("cv_recall_1pct_mean").isNull()).alias("n")).scalar() == 0
     zero = F.lit(0.0)
-    key = F.when(complete, F.coalesce("cv_recall_1pct_mean", zero)).otherwise(zero)
-    best = candidates.withColumn("_key", key).orderBy(
-        F.col("_key").desc(),
-        F.coalesce("cv_pr_auc_mean", zero).desc(),
-        (F.col("model_name") == "LR").desc(),
-        F.col("run_id").asc(),
-    ).limit(2)
-    # Two rows: a window over them decides who is first.
-    window = Window.partitionBy(F.lit(1)).orderBy(
-        F.col("_key").desc(), F.coalesce("cv_pr_auc_mean", zero).desc(), (F.col("model_name") == "LR").desc(), "run_id"
-    )
-    role = F.when(F.row_number().over(window) == 1, "champion").otherwise("challenger")
-    return best.withColumn("role", role).select(
-        "role", "run_id", "model_name", F.coalesce("cv_pr_auc_mean", zero).alias("cv_pr_auc_mean"),
+    ranked = candidates.select(
+        "run_id",
+        "model_name",
+        F.coalesce("cv_pr_auc_mean", zero).alias("cv_pr_auc_mean"),
         F.coalesce("cv_recall_1pct_mean", zero).alias("cv_recall_1pct_mean"),
+        F.when(complete, F.coalesce("cv_recall_1pct_mean", zero)).otherwise(zero).alias("_recall"),
     )
+    order = [
+        F.col("_recall").desc(),
+        F.col("cv_pr_auc_mean").desc(),
+        (F.col("model_name") == "LR").desc(),
+        F.col("run_id").asc(),
+    ]
+    # The window only ever sees the two rows the limit leaves.
+    place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order))
+    role = F.when(place == 1, "champion").otherwise("challenger")
+    return ranked.orderBy(*order).limit(2).withColumn("role", role).drop("_recall")
 
 
 def best_parameters(grid: DataFrame) -> DataFrame:

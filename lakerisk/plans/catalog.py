@@ -87,7 +87,7 @@ def _curated(spark, d):
 
 def _curated_dataset(spark, d):
     return curation.curate(
-        _one_month(spark, d), bind(spark, d, "register"), bind(spark, d, "exclusions"), LABEL_CUTOFF, hash_kind="md5"
+        stage_table(_one_month(spark, d), "features"), bind(spark, d, "register"), bind(spark, d, "exclusions"), LABEL_CUTOFF, hash_kind="md5"
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakerisk.config import MIN_VALID_ID_SHARE
 from lakerisk.functions.dates import day_first_date, serial_date
-from lakerisk.functions.regions import month_label, region_display
+from lakerisk.functions.regions import MONTH_NAMES, region_display
 from lakerisk.functions.text import strip_space
 from lakerisk.sources.schemas import REGISTER_HEADERS
 
@@ -130,22 +130,26 @@ def survey(raw: DataFrame) -> DataFrame:
 
 
 def revenue_long(wide: DataFrame, region_cells: tuple[str, str]) -> DataFrame:
-    """Month columns named ``<year>_<month>`` to long rows; unreadable amounts become null."""
-    months = [c for c in wide.columns if c not in region_cells]
-    named = wide.select(
-        region_display(*[F.col(c) for c in region_cells]).alias("region"),
-        *[F.col(f"`{c}`").cast("string").alias(c) for c in months],
-    )
-    long = named.filter(F.col("region") != "").unpivot("region", [f"`{c}`" for c in months], "cell", "text")
-    year = F.split_part(F.col("cell"), F.lit("_"), F.lit(1))
-    month = month_label(F.split_part(F.col("cell"), F.lit("_"), F.lit(2)))
-    return long.filter(month.isNotNull()).select(
-        "region",
-        F.concat_ws("_", year, month).alias("period"),
-        year.cast("long").alias("year"),
-        month.alias("month"),
-        F.col("text").try_cast("double").alias("amount"),
-    )
+    """Month columns named ``<year>_<month>`` to long rows; unreadable amounts become null.
+
+    Columns whose name is no month (totals, notes) are left out.
+    """
+    cells = []
+    for column in wide.columns:
+        year, _, name = column.partition("_")
+        month = MONTH_NAMES.get(name.strip().lower().rstrip("."))
+        if column not in region_cells and year.isdigit() and month:
+            amount = F.col(f"`{column}`").cast("string").try_cast("double")
+            cells.append(
+                F.struct(
+                    F.lit(f"{year}_{month}").alias("period"),
+                    F.lit(int(year)).cast("long").alias("year"),
+                    F.lit(month).alias("month"),
+                    amount.alias("amount"),
+                )
+            )
+    region = region_display(*[F.col(c) for c in region_cells])
+    return wide.select(region.alias("region"), F.inline(F.array(*cells))).filter(F.col("region") != "")
 
 
 def revenue(long: DataFrame) -> DataFrame:
