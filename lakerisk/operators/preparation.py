@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from math import log1p
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakerisk.functions.ids import order_hash
@@ -30,13 +31,16 @@ TOP_QUANTILE = 0.995
 UNKNOWN, INFREQUENT = "DESCONOCIDO", "infrequent"
 
 
-def choose_columns(df: DataFrame, variant: str) -> tuple[list[str], list[str]]:
-    """(numeric, categorical) columns of a variant; V1 adds the leaky ones.
+def candidate_columns(df: DataFrame, variant: str) -> tuple[list[str], list[str]]:
+    """(numeric, categorical) columns a variant may use; V1 adds the leaky ones."""
+    leaky = LEAKY_CATEGORICAL if variant == "V1" else []
+    have = set(df.columns)
+    return [c for c in NUMERIC if c in have], [c for c in CATEGORICAL + leaky if c in have]
 
-    Columns without a single value are left out; one aggregate finds them all.
-    """
-    numeric = [c for c in NUMERIC if c in df.columns]
-    categorical = [c for c in CATEGORICAL + (LEAKY_CATEGORICAL if variant == "V1" else []) if c in df.columns]
+
+def choose_columns(df: DataFrame, variant: str) -> tuple[list[str], list[str]]:
+    """The candidates that hold at least one value; one aggregate finds the empty ones."""
+    numeric, categorical = candidate_columns(df, variant)
     if not numeric and not categorical:
         return [], []
     filled = df.agg(*[F.count(c).alias(c) for c in numeric + categorical]).first()
@@ -54,7 +58,6 @@ class Preparation:
     medians: dict[str, float] = field(default_factory=dict)
     with_missing: list[str] = field(default_factory=list)
     categories: dict[str, list[str]] = field(default_factory=dict)
-    pooled: dict[str, bool] = field(default_factory=dict)
 
     def shaped(self, column: str) -> Column:
         """Top-coded (linear models only) and logged where the tail is long."""
@@ -75,28 +78,32 @@ class Preparation:
         return {f"cat_{c}": pool_rare(F.col(c), self.categories[c]) for c in self.categorical}
 
 
-def top_caps(train: DataFrame, columns: Sequence[str], quantile: float = TOP_QUANTILE) -> dict[str, float]:
-    """Upper cap per column from the train rows (mergeable sketch, one pass).
-
-    A column whose quantile is not positive gets no cap, so mostly-zero columns survive.
-    """
-    if not columns:
-        return {}
-    found = train.agg(*[F.percentile_approx(F.col(c).cast("double"), quantile, 10000).alias(c) for c in columns]).first()
-    return {c: float(found[c]) for c in columns if found[c] is not None and found[c] > 0}
-
-
 def top_coded(value: Column, cap: Column) -> Column:
     """The smaller of value and cap; no cap when it is not positive. Null stays null."""
     return F.when(cap > 0, F.when(value.isNotNull(), F.least(value, cap))).otherwise(value)
 
 
-def frequent_categories(train: DataFrame, column: str, limit: int) -> list[str]:
-    """The most frequent values; when there are more than `limit`, the last place is the pool's."""
-    value = F.coalesce(F.col(column).cast("string"), F.lit(UNKNOWN)).alias("value")
-    ranked = train.groupBy(value).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value")
-    top = [r["value"] for r in ranked.limit(limit + 1).collect()]
-    return top if len(top) <= limit else top[: limit - 1]
+def frequent_categories(train: DataFrame, limits: Mapping[str, int]) -> dict[str, list[str]]:
+    """The most frequent values of each column; past its limit the last place is the pool's.
+
+    All columns are counted in one pass, and the group limit keeps at most limit + 1
+    values per column and task before they meet.
+    """
+    if not limits:
+        return {}
+    cells = F.array(
+        *[
+            F.struct(F.lit(c).alias("name"), F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias("value"))
+            for c in limits
+        ]
+    )
+    counted = train.select(F.inline(cells)).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("name").orderBy(F.col("n").desc(), "value"))
+    most = max(limits.values()) + 1
+    top: dict[str, list[str]] = {c: [] for c in limits}
+    for row in counted.withColumn("place", place).filter(F.col("place") <= most).orderBy("name", "place").collect():
+        top[row["name"]].append(row["value"])
+    return {c: v if len(v) <= limits[c] else v[: limits[c] - 1] for c, v in top.items()}
 
 
 def pool_rare(value: Column, kept: Sequence[str]) -> Column:
@@ -105,20 +112,27 @@ def pool_rare(value: Column, kept: Sequence[str]) -> Column:
 
 
 def fit_preparation(train: DataFrame, variant: str, linear: bool) -> Preparation:
-    """Learn caps, medians, missing marks and kept categories from the train rows."""
-    numeric, categorical = choose_columns(train, variant)
-    prep = Preparation(numeric, categorical, linear)
-    if linear:
-        prep.caps = top_caps(train, [c for c in numeric if c in LOGGED])
-    if numeric:
-        found = train.agg(
-            *[F.percentile_approx(prep.shaped(c), 0.5, 10000).alias(f"m_{c}") for c in numeric],
-            *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in numeric],
-        ).first()
-        prep.medians = {c: float(found[f"m_{c}"]) for c in numeric}
-        prep.with_missing = [c for c in numeric if found[f"n_{c}"]]
-    for c in categorical:
-        prep.categories[c] = frequent_categories(train, c, CATEGORY_LIMITS.get(c, DEFAULT_CATEGORY_LIMIT))
+    """Learn caps, medians, missing marks and kept categories in two passes.
+
+    Top-coding and log keep the order of values, so the median of a shaped column is
+    the shaped median, and caps and medians come from the same aggregate.
+    """
+    numeric, categorical = candidate_columns(train, variant)
+    capped = [c for c in numeric if linear and c in LOGGED]
+    number = lambda c: F.col(c).cast("double")
+    learnt = [F.count(F.lit(1)).alias("rows")]
+    learnt += [F.count(c).alias(f"filled_{c}") for c in numeric + categorical]
+    learnt += [F.percentile_approx(number(c), 0.5, 10000).alias(f"median_{c}") for c in numeric]
+    learnt += [F.percentile_approx(number(c), TOP_QUANTILE, 10000).alias(f"cap_{c}") for c in capped]
+    seen = train.agg(*learnt).first()
+    prep = Preparation([c for c in numeric if seen[f"filled_{c}"]], [c for c in categorical if seen[f"filled_{c}"]], linear)
+    prep.with_missing = [c for c in prep.numeric if seen[f"filled_{c}"] < seen["rows"]]
+    prep.caps = {c: float(seen[f"cap_{c}"]) for c in capped if (seen[f"cap_{c}"] or 0) > 0}
+    for c in prep.numeric:
+        middle = float(seen[f"median_{c}"])
+        prep.medians[c] = log1p(max(0.0, min(middle, prep.caps.get(c, middle)))) if c in LOGGED else middle
+    limits = {c: CATEGORY_LIMITS.get(c, DEFAULT_CATEGORY_LIMIT) for c in prep.categorical}
+    prep.categories = frequent_categories(train, limits)
     return prep
 
 

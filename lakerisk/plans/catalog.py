@@ -391,7 +391,7 @@ def prep_impute(spark, d):
 
 def prep_onehot_topk(spark, d):
     base = features.registry_features(_silver_registry(spark, d), MONTH)
-    kept = preparation.frequent_categories(base, "activity", preparation.DEFAULT_CATEGORY_LIMIT)
+    kept = preparation.frequent_categories(base, {"activity": preparation.DEFAULT_CATEGORY_LIMIT})["activity"]
     return base.select("entity_id", preparation.pool_rare(F.col("activity"), kept).alias("activity"))
 
 
