@@ -73,9 +73,13 @@ def score_ladder(preds: DataFrame, groups: Sequence[str] = RUN) -> DataFrame:
     )
 
 
-def _average_precision(p: Column, p_upto: Column, n_upto: Column, p_all: Column) -> Column:
-    """Sum of precision times recall gain over distinct scores; 0 without positives."""
-    return F.coalesce(F.sum(p / F.nullif(p_all, F.lit(0)) * p_upto / n_upto), F.lit(0.0))
+def _average_precision(p: Column, p_upto: Column, n_upto: Column, p_all: Column, n_all: Column) -> Column:
+    """Sum of precision times recall gain over distinct scores.
+
+    Null without positives (the callers turn it into 0), exactly 1 with positives only.
+    """
+    area = F.sum(p / F.nullif(p_all, F.lit(0)) * p_upto / F.nullif(n_upto, F.lit(0)))
+    return F.when(F.max(p_all) == F.max(n_all), F.when(F.max(p_all) > 0, F.lit(1.0))).otherwise(area)
 
 
 def _roc_area(n: Column, p: Column, p_upto: Column, n_all: Column, p_all: Column) -> Column:
@@ -95,7 +99,7 @@ def rank_areas(preds: DataFrame, groups: Sequence[str] = RUN) -> DataFrame:
     return ladder.groupBy(*groups).agg(
         F.max(n_all).alias("n"),
         F.max(p_all).alias("n_positives"),
-        _average_precision(p, p_upto, n_upto, p_all).alias("pr_auc"),
+        F.coalesce(_average_precision(p, p_upto, n_upto, p_all, n_all), F.lit(0.0)).alias("pr_auc"),
         _roc_area(n, p, p_upto, n_all, p_all).alias("roc_auc"),
         F.coalesce(F.sum(share / F.nullif(p_all, F.lit(0))), F.lit(0.0)).alias("expected_recall_1pct"),
     )
@@ -130,7 +134,7 @@ def ranking_metrics(preds: DataFrame, groups: Sequence[str] = RUN, ks: Sequence[
     summed = ladder.groupBy(*groups).agg(
         F.max(n_all).alias("n"),
         F.max(p_all).alias("n_positives"),
-        _average_precision(p, p_upto, n_upto, p_all).alias("pr_auc"),
+        F.coalesce(_average_precision(p, p_upto, n_upto, p_all, n_all), F.lit(0.0)).alias("pr_auc"),
         _roc_area(n, p, p_upto, n_all, p_all).alias("roc_auc"),
         F.sum(squared).alias("_squared"),
         *[F.sum(f"tp_{c}").alias(f"tp_{c}") for c in cuts],
@@ -243,9 +247,8 @@ def bootstrap_interval(
     walked = with_running_totals(
         drawn, [F.col("step")], {"p_upto": F.col("p"), "n_upto": F.col("p") + F.col("q")}, [*groups, "replicate"]
     )
-    p_all = F.nullif(F.col("p_upto_all"), F.lit(0))
     per_replicate = walked.groupBy(*groups, "replicate").agg(
-        F.sum(F.col("p") / p_all * F.col("p_upto") / F.nullif(F.col("n_upto"), F.lit(0))).alias("pr_auc")
+        _average_precision(*(F.col(c) for c in ("p", "p_upto", "n_upto", "p_upto_all", "n_upto_all"))).alias("pr_auc")
     )
     edge = lambda x: F.coalesce(F.percentile("pr_auc", F.lit(x)), F.lit(0.0))
     return per_replicate.groupBy(*groups).agg(
