@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakerisk.operators.evaluation import RUN, score_ladder, walk
+from lakerisk.session import stage_table
 
 
 def precision_recall_points(preds: DataFrame, groups: Sequence[str] = RUN) -> DataFrame:
@@ -81,7 +82,8 @@ def density_points(preds: DataFrame, groups: Sequence[str] = RUN, bins: int = 40
     flat = F.col("_min") == F.col("_max")
     low = F.when(flat, F.col("_min") - 0.5).otherwise(F.col("_min"))
     high = F.when(flat, F.col("_max") + 0.5).otherwise(F.col("_max"))
-    ranges = ranges.select(*keys, low.alias("_low"), ((high - low) / bins).alias("width"), "_of")
+    # Stored, so that its true size (a row per group) decides how it is joined.
+    ranges = stage_table(ranges.select(*keys, low.alias("_low"), ((high - low) / bins).alias("width"), "_of"), "ranges")
     place = F.least(F.floor((F.col("score") - F.col("_low")) / F.col("width")).cast("int"), F.lit(bins - 1))
     counted = preds.join(ranges, keys).groupBy(*keys, place.alias("bin"), "_low", "width", "_of").agg(
         F.count(F.lit(1)).alias("n")

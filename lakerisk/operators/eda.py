@@ -80,7 +80,8 @@ def describe(df: DataFrame, value: str, by: Sequence[str] = (), exact: bool = Fa
 def value_histogram(df: DataFrame, value: str, bins: int = 60) -> DataFrame:
     """Equal-width histogram of the positive values, upper edge in the last bin."""
     positive = df.filter(F.col(value) > 0).select(F.col(value).cast("double").alias("x"))
-    low, high = (positive.select(f("x").alias("e")).scalar() for f in (F.min, F.max))
+    ends = positive.select(F.struct(F.min("x").alias("low"), F.max("x").alias("high")).alias("ends")).scalar()
+    low, high = ends["low"], ends["high"]
     width = F.nullif((high - low) / bins, F.lit(0.0))
     place = F.coalesce(F.least(F.floor((F.col("x") - low) / width).cast("int"), F.lit(bins - 1)), F.lit(0))
     return positive.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

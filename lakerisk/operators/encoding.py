@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakerisk.config import ENCODING_WEIGHT, FOLDS
+from lakerisk.session import stage_table
 
 _COHORT_SIZE = 100_000
 
@@ -61,7 +62,7 @@ def apply_rates(
 
     A row in a fold the rates were fitted on leaves its own fold out; any other row
     (test, or a validation fold) uses all of it. An unknown or null category gets the
-    prevalence. A very frequent category is left to AQE, which splits the skewed side.
+    prevalence.
     """
     zero = F.lit(0)
     n = F.coalesce(F.col("_n"), zero) - F.coalesce(_own_fold("_n", folds), zero)
@@ -93,7 +94,9 @@ def encode_all(
     """Add several encodings, all fitted on the rows as given.
 
     Pass a stored table: the rates of every encoding and the prevalence read it once
-    each, with only the columns they need.
+    each, with only the columns they need. The rates are stored too: with a known size
+    the planner can broadcast them, and the wide rows are not shuffled for a category
+    that may hold a third of them; a large table is joined by AQE's skew join.
     """
     train = dataset.filter(F.col("split") == "train")
     one = F.lit(1) if weight is None else weight
@@ -101,7 +104,8 @@ def encode_all(
     prevalence = train.select(F.coalesce(mean, F.lit(0.0)).alias("prevalence")).scalar()
     out = dataset
     for name, key in encodings:
-        out = apply_rates(out, category_rates(train, key, folds, weight), key, name, prevalence, m, folds)
+        rates = stage_table(category_rates(train, key, folds, weight), "rates")
+        out = apply_rates(out, rates, key, name, prevalence, m, folds)
     return out
 
 

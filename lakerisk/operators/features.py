@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +9,9 @@ from lakerisk.functions.dates import age_days, month_end, month_index, year_mont
 from lakerisk.functions.ids import id_prefix, id_sequence
 from lakerisk.functions.numbers import amount_per_worker, flag
 from lakerisk.functions.text import filled, text_or
+from lakerisk.sources.small import existing
+
+Cutoff = tuple[str, str]
 
 # Texts of the source data that decide a rule.
 ANNULLED = "anulada"
@@ -59,23 +60,46 @@ def order_facts(orders: DataFrame, cutoff: str | None = None) -> DataFrame:
     return facts.filter(F.col("entity_id").isNotNull())
 
 
+def _per_cutoff(df: DataFrame, column: str, cutoffs: list[Cutoff]) -> DataFrame:
+    """Repeat each row for every cut-off it is known at, as `ref_month` and `_at`.
+
+    One scan serves all cut-offs; the latest date is filtered first and reaches it.
+    """
+    day = F.col(column)
+    known = [
+        F.when(day <= F.lit(date).cast("date"), F.struct(F.lit(month).alias("ref_month"), F.lit(date).cast("date").alias("_at")))
+        for month, date in cutoffs
+    ]
+    latest = F.lit(max(date for _, date in cutoffs)).cast("date")
+    return df.filter(day <= latest).select("*", F.inline(F.array_compact(F.array(*known))))
+
+
 def contract_profile(orders: DataFrame, cutoff: str | None = None) -> DataFrame:
-    """Contract profile per entity, with the share of its largest buyer.
+    """Contract profile per entity at one cut-off date (or over everything)."""
+    return _profile(order_facts(orders, cutoff), ["entity_id"])
+
+
+def contract_profiles(orders: DataFrame, cutoffs: list[Cutoff]) -> DataFrame:
+    """Contract profile per entity and cut-off month, from one scan of the orders."""
+    return _profile(_per_cutoff(order_facts(orders), "issue_date", cutoffs), ["entity_id", "ref_month"])
+
+
+def _profile(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums, counts, extremes, median and the share of the largest buyer.
 
     Sums, counts and the largest buyer come from one two-level aggregate (entity and
     buyer, then entity), which spreads an entity with very many orders over its buyers
     and needs no distinct count. The median is a mergeable sketch, aggregated per task
     before the shuffle. Both sides end partitioned by entity, so the join adds none.
     """
-    facts = order_facts(orders, cutoff)
-    per_buyer = facts.groupBy("entity_id", "buyer").agg(
+    per_buyer = facts.groupBy(*keys, "buyer").agg(
         F.sum("amount").alias("amount"),
         F.max("amount").alias("largest"),
         F.count(F.lit(1)).alias("orders"),
         F.sum("annulled").alias("annulled"),
         F.min("issue_date").alias("first_date"),
     )
-    per_entity = per_buyer.groupBy("entity_id").agg(
+    per_entity = per_buyer.groupBy(*keys).agg(
         F.coalesce(F.sum("amount"), F.lit(0)).cast("double").alias("total_amount"),
         F.sum("orders").alias("n_orders"),
         F.max("largest").cast("double").alias("max_amount"),
@@ -84,12 +108,12 @@ def contract_profile(orders: DataFrame, cutoff: str | None = None) -> DataFrame:
         F.min("first_date").alias("first_order_date"),
         F.max("amount").cast("double").alias("_top_buyer"),
     )
-    medians = facts.groupBy("entity_id").agg(
+    medians = facts.groupBy(*keys).agg(
         F.percentile_approx(F.col("amount").cast("double"), 0.5).alias("median_amount")
     )
     share = F.when(F.col("total_amount") > 0, F.col("_top_buyer") / F.col("total_amount"))
     return (
-        per_entity.join(medians, "entity_id", "left")
+        per_entity.join(medians, keys, "left")
         .withColumn("top_buyer_share", F.when(F.col("total_amount") <= 0, F.lit(0.0)).otherwise(share))
         .withColumn("total_contracted", F.col("total_amount"))
         .withColumn("contract_count", F.col("n_orders"))
@@ -107,16 +131,21 @@ def with_ref_month(registry: DataFrame) -> DataFrame:
 
 
 def registry_history(snapshots: DataFrame, month: str) -> DataFrame:
-    """Months seen, gaps, newness and changes per entity, up to `month`.
+    """Months seen, gaps, newness and changes per entity, up to `month`."""
+    return registry_histories(snapshots, [month]).drop("ref_month")
+
+
+def registry_histories(snapshots: DataFrame, months: list[str]) -> DataFrame:
+    """History per entity and reference month; a month only sees earlier snapshots.
 
     A tracked text has changed when its least and greatest trimmed values differ, so
-    no distinct count is needed. The first month of the whole feed is a scalar
+    no distinct count is needed. Snapshots are first reduced to entity and month, then
+    repeated per reference month. The first month of the whole feed is a scalar
     subquery of the same plan.
     """
-    known = with_ref_month(snapshots).filter(F.col("ref_month") <= str(month))
     tracked = {"billing_mode": "billing_changed", "status": "status_changed"}
     tracked = {c: name for c, name in tracked.items() if c in snapshots.columns}
-    facts = known.select(
+    facts = with_ref_month(snapshots).filter(F.col("ref_month") <= max(months)).select(
         F.col("entity_id").cast("long").alias("entity_id"),
         month_index(F.col("ref_month")).alias("at"),
         *[F.trim(c).alias(c) for c in tracked],
@@ -124,11 +153,13 @@ def registry_history(snapshots: DataFrame, month: str) -> DataFrame:
     monthly = facts.groupBy("entity_id", "at").agg(
         *[F.min(c).alias(f"{c}_low") for c in tracked], *[F.max(c).alias(f"{c}_high") for c in tracked]
     )
+    seen_by = [F.when(F.col("at") <= int(m[:4]) * 12 + int(m[4:]), F.lit(m)) for m in months]
+    repeated = monthly.withColumn("ref_month", F.explode(F.array_compact(F.array(*seen_by))))
     changed = [
         F.coalesce(F.min(f"{c}_low") != F.max(f"{c}_high"), F.lit(False)).cast("int").alias(name)
         for c, name in tracked.items()
     ]
-    summary = monthly.groupBy("entity_id").agg(
+    summary = repeated.groupBy("entity_id", "ref_month").agg(
         F.count(F.lit(1)).alias("months_seen"), F.min("at").alias("_first"), F.max("at").alias("_last"), *changed
     )
     start = facts.select(F.min("at").alias("start")).scalar()
@@ -140,38 +171,51 @@ def registry_history(snapshots: DataFrame, month: str) -> DataFrame:
 
 
 def affiliation_features(affiliations: DataFrame, cutoff: str) -> DataFrame:
-    """Affiliations in force at the cut-off, one row per entity.
+    """Affiliations in force at the cut-off, one row per entity."""
+    return affiliation_histories(affiliations, [(DEFAULT_MONTH, cutoff)]).drop("ref_month")
+
+
+def affiliation_histories(affiliations: DataFrame, cutoffs: list[Cutoff]) -> DataFrame:
+    """Affiliations in force, one row per entity and cut-off month.
 
-    Level one (entity and voucher type) removes repeats before the shuffle; level two
-    counts types and takes the flags.
+    Level one (entity and voucher type, first start) removes repeats before the
+    shuffle and does not depend on the cut-off; level two counts types and takes flags.
     """
-    at = F.lit(cutoff).cast("date")
-    known = affiliations.filter(F.col("start_date").isNotNull() & (F.col("start_date") <= at))
-    per_type = known.groupBy(F.col("entity_id").cast("long").alias("entity_id"), "voucher_type").agg(
+    started = affiliations.filter(F.col("start_date").isNotNull())
+    per_type = started.groupBy(F.col("entity_id").cast("long").alias("entity_id"), "voucher_type").agg(
         F.min("start_date").alias("start_date")
     )
     has = lambda text: F.col("voucher_type").contains(text).cast("int")
-    return per_type.groupBy("entity_id").agg(
-        F.datediff(at, F.min("start_date")).alias("aff_age_days"),
-        F.count("voucher_type").alias("aff_n_types"),
-        *[F.max(has(text)).alias(name) for name, text in VOUCHER_FLAGS.items()],
-        F.min(has(FEE_VOUCHER)).alias("aff_fees_only"),
-    ).withColumn("affiliated", F.lit(1))
+    return (
+        _per_cutoff(per_type, "start_date", cutoffs)
+        .groupBy("entity_id", "ref_month")
+        .agg(
+            F.max(F.datediff("_at", "start_date")).alias("aff_age_days"),
+            F.count("voucher_type").alias("aff_n_types"),
+            *[F.max(has(text)).alias(name) for name, text in VOUCHER_FLAGS.items()],
+            F.min(has(FEE_VOUCHER)).alias("aff_fees_only"),
+        )
+        .withColumn("affiliated", F.lit(1))
+    )
+
+
+def _shared_keys(left: DataFrame, right: DataFrame) -> list[str]:
+    return [c for c in ("entity_id", "ref_month") if c in left.columns and c in right.columns]
 
 
 def attach_affiliations(features: DataFrame, affiliated: DataFrame) -> DataFrame:
     """Entities without an affiliation get zero flags; the age stays null."""
-    return features.join(affiliated, "entity_id", "left").fillna(dict.fromkeys(AFFILIATION_ZEROS, 0))
+    return features.join(affiliated, _shared_keys(features, affiliated), "left").fillna(dict.fromkeys(AFFILIATION_ZEROS, 0))
 
 
-def registry_features(registry: DataFrame, month: str | None = None) -> DataFrame:
-    """Capacity and registration features of one snapshot (or of all)."""
+def registry_features(registry: DataFrame, *months: str) -> DataFrame:
+    """Capacity and registration features of the given snapshots (or of all)."""
     activity = _first_column(registry, ["activity"], F.lit("OTROS"))
     secondary = _first_column(registry, ["activity_secondary"], F.lit(None).cast("string"))
     workers = _first_column(registry, ["workers_text", "workers"], F.lit(None).cast("string")).try_cast("double")
     dated = with_ref_month(registry)
-    if month is not None:
-        dated = dated.filter(F.col("ref_month") == str(month))
+    if months:
+        dated = dated.filter(F.col("ref_month").isin(*months))
     entity = F.col("entity_id").cast("long")
     derived = {
         "entity_id": entity,
@@ -195,8 +239,7 @@ def registry_features(registry: DataFrame, month: str | None = None) -> DataFram
         "workers", "workers_known", "no_workers", "n_activities", "billing_mode", "accounting_mode",
         "id_prefix", "id_sequence", "ref_month",
     ]
-    full = dated.withColumns(derived)
-    return full.select(*[c for c in wanted if c in full.columns])
+    return existing(dated.withColumns(derived), wanted)
 
 
 def exclusion_flag(exclusions: DataFrame) -> DataFrame:
@@ -223,7 +266,7 @@ def combine_features(registry: DataFrame, contracts: DataFrame, excluded: DataFr
     No orders means zero orders, amount, buyers and annulled share; median, maximum
     and top share stay null because there is nothing to take them from.
     """
-    joined = registry.join(contracts, "entity_id", "left").join(excluded, "entity_id", "left")
+    joined = registry.join(contracts, _shared_keys(registry, contracts), "left").join(excluded, "entity_id", "left")
     zeros = [c for c in ("n_orders", "total_amount", "n_buyers") if c in joined.columns]
     some = F.col("n_orders") > 0
     return (
@@ -249,17 +292,21 @@ def feature_table(
     orders: DataFrame,
     exclusions: DataFrame,
     affiliations: DataFrame,
-    cutoffs: list[tuple[str, str]],
+    cutoffs: list[Cutoff],
     rates: DataFrame | None = None,
 ) -> DataFrame:
-    """Feature rows for every cut-off (month, date), one after the other in one plan."""
-
-    def at(month: str, date: str) -> DataFrame:
-        base = registry_features(registry, month).join(registry_history(snapshots, month), "entity_id", "left")
-        combined = combine_features(base, contract_profile(orders, date), exclusion_flag(exclusions))
-        return attach_affiliations(combined, affiliation_features(affiliations, date))
+    """Feature rows for every cut-off (month, date).
 
-    features = reduce(DataFrame.unionByName, [at(month, date) for month, date in cutoffs])
+    All cut-offs share one scan of each source: rows are repeated per cut-off inside
+    the aggregates and joined by entity and month, in place of a union of one plan per
+    cut-off.
+    """
+    months = [month for month, _ in cutoffs]
+    base = registry_features(registry, *months).join(
+        registry_histories(snapshots, months), ["entity_id", "ref_month"], "left"
+    )
+    combined = combine_features(base, contract_profiles(orders, cutoffs), exclusion_flag(exclusions))
+    features = attach_affiliations(combined, affiliation_histories(affiliations, cutoffs))
     if rates is not None:
         return attach_regional(features, rates)
     return features.withColumn("regional_informal_pct", F.lit(None).cast("double"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -21,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakerisk.config import ENCODING_WEIGHT
+from lakerisk.config import ENCODING_WEIGHT, RUN_PREFIX
 from lakerisk.functions.ids import hash_uniform
 from lakerisk.operators.encoding import apply_rates, category_rates, negative_weight, standard_encodings
 from lakerisk.operators.evaluation import rank_areas
@@ -36,6 +37,7 @@ from lakerisk.operators.preparation import (
     sample_negatives,
 )
 from lakerisk.operators.ranking import rank_population
+from lakerisk.operators.runs import best_parameters
 from lakerisk.session import stage_table
 
 # The experiment matrix. (id, model, variant, weighted, negatives per
@@ -185,7 +187,11 @@ class Learner:
         folds = F.count_distinct("fold") if keyed else F.lit(0)
         seen = fit_rows.agg((F.sum(mass * F.col("label")) / F.sum(mass)).alias("p"), folds.alias("folds")).first()
         prevalence = seen["p"] or 0.0
-        rates = {name: category_rates(fit_rows, key, weight=mass) for name, key in keyed if seen["folds"] >= 2}
+        rates = {
+            name: stage_table(category_rates(fit_rows, key, weight=mass), "rates")
+            for name, key in keyed
+            if seen["folds"] >= 2
+        }
         balanced = class_weight(fit_rows) if self.weighted else F.lit(1.0)
         ready = _prepared(fit_rows, prep, rates, prevalence).withColumn("weight", balanced)
         stages = Pipeline(stages=_stages(prep, list(rates))).fit(ready)
@@ -286,6 +292,29 @@ def run_record(predictions: DataFrame, experiment: Mapping, per_round: DataFrame
     )
 
 
+def run_experiment(dataset: DataFrame, code: str, version: str, tag: str = "", grid: Sequence[Mapping] | None = None, parallel: int = 5) -> tuple[FittedModel, DataFrame, DataFrame]:
+    """(model, predictions, run record) of one experiment of the matrix.
+
+    The grid is validated by the experiment's scheme, the best setting is refitted on
+    the whole train part (with the same sampling), and everyone is scored and ranked.
+    """
+    known = {row[0]: row for row in EXPERIMENTS}
+    if code not in known:
+        raise ValueError(f"unknown experiment {code!r}; known: {sorted(known)}")
+    _, model, variant, weighted, per_positive, scheme, matrix = known[code]
+    grid = settings(matrix) if grid is None else list(grid)
+    learner = Learner(model, variant, weighted, per_positive)
+    started = time.monotonic()
+    per_round = stage_table(cross_validate(dataset, learner, grid, scheme, parallel=parallel), "rounds")
+    best = best_parameters(grid_summary(per_round)).first()["setting"]
+    fitted = learner.fit_all(dataset.filter(F.col("split") == "train"), [grid[best]])[0]
+    weights = "w1" if weighted else "w0"
+    run_id = "-".join([RUN_PREFIX, code, model.lower(), variant.lower(), weights, *([tag] if tag else [])])
+    predictions = stage_table(score_population(dataset, fitted, run_id), "predictions")
+    about = {"dataset_version": version, "variant": variant, "model": model, "weighted": weighted}
+    return fitted, predictions, run_record(predictions, about, per_round, best, time.monotonic() - started)
+
+
 def feature_names(fitted: FittedModel) -> list[str]:
     """Names of the assembled features, in vector order."""
     prep = fitted.prep

@@ -21,8 +21,13 @@ _SLICE_BITS = 33
 
 
 def _attach(rows: DataFrame, slices: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join of the slice table; a null group matches itself."""
-    renamed = slices.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    """Left join of the slice table; a null group matches itself.
+
+    The slice table is stored first, so the planner knows its true size: it broadcasts
+    it when that is small (one row per slice, plus one per group) and shuffles both
+    sides when a caller has very many groups.
+    """
+    renamed = stage_table(slices, "slices").withColumnsRenamed({k: f"_key_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
     return rows.join(renamed, same, "left")
 

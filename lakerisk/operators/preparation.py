@@ -137,9 +137,12 @@ def fit_preparation(train: DataFrame, variant: str, linear: bool) -> Preparation
 
 
 def class_weight(rows: DataFrame) -> Column:
-    """Balanced weight n / (2 * n_class); the counts are scalar subqueries."""
-    n = rows.select(F.count(F.lit(1)).cast("double").alias("n")).scalar()
-    p = rows.select(F.count_if(F.col("label") == 1).cast("double").alias("n")).scalar()
+    """Balanced weight n / (2 * n_class); both counts come from one scalar subquery."""
+    counts = F.struct(
+        F.count(F.lit(1)).cast("double").alias("n"), F.count_if(F.col("label") == 1).cast("double").alias("p")
+    )
+    seen = rows.select(counts.alias("seen")).scalar()
+    n, p = seen["n"], seen["p"]
     return F.when(F.col("label") == 1, n / F.nullif(p * 2, F.lit(0.0))).otherwise(n / F.nullif((n - p) * 2, F.lit(0.0)))
 
 
@@ -151,12 +154,15 @@ def sample_negatives(rows: DataFrame, per_positive: int, seed: int = 42, hash_ki
     """
     if per_positive <= 0:
         return rows
-    positives = rows.filter(F.col("label") == 1)
+    positive = F.col("label") == 1
     salted = order_hash(F.col("id"), f"_salt_{seed}_sample", hash_kind)
-    ids = rows.filter(F.col("label") == 0).select("id", salted.alias("_hash"))
-    wanted = positives.select((F.count(F.lit(1)) * per_positive).alias("n")).scalar()
-    kept = with_rank(ids, [F.col("_hash"), F.col("id")], (), "_nth").filter(F.col("_nth") <= wanted)
-    return positives.unionByName(rows.join(kept.select("id"), "id", "left_semi").filter(F.col("label") == 0))
+    keys = rows.filter(~positive).select(salted.alias("hash"), "id")
+    wanted = rows.filter(positive).select((F.count(F.lit(1)) * per_positive).alias("n")).scalar()
+    ranked = with_rank(keys, [F.col("hash"), F.col("id")], (), "_nth").filter(F.col("_nth") <= wanted)
+    # The last key taken is a one-row subquery; comparing with it needs no join.
+    last = ranked.select(F.max(F.struct("hash", "id")).alias("last")).scalar()
+    taken = F.coalesce(F.struct(salted.alias("hash"), "id") <= last, F.lit(False))
+    return rows.filter(positive | taken)
 
 
 def block_rounds(folds: Sequence[int]) -> Iterator[tuple[int, Column, Column]]:

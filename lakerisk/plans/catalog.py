@@ -536,6 +536,9 @@ def queries() -> dict[str, Query]:
         "view_leaderboard": view_leaderboard,
         "run_summary": run_summary,
         "champion": champion,
+        "record_numbers": lambda s, d: runs.clean_record_numbers(
+            bind(s, d, "registry").select("entity_id", "year", "month", "workers_text"), ["workers_text"]
+        ),
         "matrix_gaps": lambda s, d: runs.matrix_gaps(run_records(s, d)),
         "consolidated_runs": consolidated_runs,
         "run_records": run_record_files,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakerisk.config import MAX_REJECT_RATE, LakePaths, cutoff_of, parse_cutoffs, staging_path
-from lakerisk.operators import curation, dedup, features, quality, quarantine, regional
+from lakerisk.operators import curation, dedup, evaluation, features, models, quality, quarantine, regional
 from lakerisk.operators.encoding import standard_encodings
 from lakerisk.session import stage_table
 from lakerisk.sources import readers, schemas, small, writers
@@ -146,3 +146,20 @@ def build_curated(spark: SparkSession, paths: LakePaths, version: str, cutoff: t
     quality.gate_features_filled(checked, [name for name, _, _ in standard_encodings()])
     writers.write_partitioned(checked, paths.table("gold", "model_inputs"), ["dataset_version"], only_touched=True)
     return quality.curation_report(checked, version)
+
+
+def train(spark: SparkSession, paths: LakePaths, version: str, code: str, tag: str = "", grid=None, replicates: int = 1000) -> str:
+    """Run one experiment on the curated table; publish predictions, record and metrics.
+
+    Only the partition of the run is replaced. Returns the run id.
+    """
+    inputs = spark.read.parquet(paths.table("gold", "model_inputs"))
+    dataset = inputs.filter(F.col("dataset_version") == version).drop("dataset_version")
+    _, predictions, record = models.run_experiment(dataset, code, version, tag, grid)
+    run_id = predictions.select("run_id").first()[0]
+    writers.write_partitioned(predictions, paths.table("gold", "model_outputs"), ["run_id"], only_touched=True)
+    record.coalesce(1).write.mode("overwrite").json(f"{paths.table('gold', 'model_runs')}/run={run_id}")
+    test = evaluation.check_predictions(predictions, ks=(), diagnostic=True)
+    flat = evaluation.flat_metrics(test, replicates=replicates)
+    writers.write_metric_rows(flat, f"{paths.table('gold', 'model_metrics')}/run={run_id}")
+    return run_id

@@ -431,6 +431,7 @@ def oracle_sql() -> dict[str, str]:
         "champion": f"""{_from(r='runs')} SELECT role, run_id, model_name, cv_mean AS cv_pr_auc_mean, coalesce(cv_recall, 0) AS cv_recall_1pct_mean FROM (SELECT *,
             CASE row_number() OVER (ORDER BY CASE WHEN (SELECT count(*) FROM r WHERE variant = 'V2' AND cv_recall IS NULL) = 0 THEN cv_recall ELSE 0 END DESC, cv_mean DESC, model_name = 'LR' DESC, run_id)
             WHEN 1 THEN 'champion' WHEN 2 THEN 'challenger' END AS role FROM r WHERE variant = 'V2') WHERE role IS NOT NULL""",
+        "record_numbers": f"SELECT entity_id, year, month, round(coalesce(TRY_CAST(workers_text AS DOUBLE), 0), 4) AS workers_text FROM ({binding_sql('registry')})",
         "matrix_gaps": f"""{_from(r='runs')} SELECT e AS experiment, EXISTS (SELECT 1 FROM r WHERE contains(upper(run_id), e)) AS found FROM (VALUES ('E1'), ('E2'), ('E3'), ('E4'), ('E5'), ('E6')) t(e)""",
         "consolidated_runs": f"""{_metrics()}, ru AS ({binding_sql('runs')}) SELECT ru.run_id, model_name AS model, variant, CASE WHEN weighted THEN 'yes' ELSE 'no' END AS weighted, dataset_version AS dataset,
             cv_mean AS cv_pr_auc, train_score AS train_pr_auc, seconds, pr_auc AS test_pr_auc, recall_1pct AS test_recall_1pct, recall_5pct AS test_recall_5pct, lift_1pct AS test_lift_1pct, brier AS test_brier

@@ -48,9 +48,11 @@ def exclusion_concentration(summary: DataFrame) -> DataFrame:
 
 def quadrants(summary: DataFrame) -> DataFrame:
     """Regions against the national medians; the one-row medians are scalar subqueries."""
-    mid = lambda c: summary.select(F.percentile_approx(c, 0.5).alias("m")).scalar()
-    # Computed once, next to the rows, so the label and the output share them.
-    with_mid = summary.withColumns({"active_median": mid("active_entities"), "informal_median": mid("informal_pct")})
+    middle = F.struct(
+        F.percentile_approx("active_entities", 0.5).alias("a"), F.percentile_approx("informal_pct", 0.5).alias("i")
+    )
+    mid = summary.select(middle.alias("mid")).scalar()
+    with_mid = summary.withColumns({"active_median": mid["a"], "informal_median": mid["i"]})
     label = quadrant(
         F.col("active_entities"), F.col("informal_pct"), F.col("active_median"), F.col("informal_median"), QUADRANTS
     )

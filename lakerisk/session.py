@@ -34,10 +34,11 @@ def build_session(app_name: str, master: str | None = None, **extra: str) -> Spa
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, taken from ``spark.checkpoint.dir``.
 
-    Only when the cluster names none (tests, a laptop) a fresh local folder is made
-    and recorded in the session, so later calls agree on it.
+    A checkpoint folder set on the context counts as well. Only when there is none
+    (tests, a laptop) a fresh local folder is made and recorded in the session, so
+    later calls agree on it.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)

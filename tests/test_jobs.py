@@ -7,7 +7,7 @@ from lakerisk.config import LakePaths
 from lakerisk.operators.quality import QualityError
 from lakerisk.plans import jobs
 from lakerisk.sources import schemas
-from lakerisk.sources.readers import read_optional
+from lakerisk.sources.readers import read_optional, read_run_records
 
 BASE = 20000000000
 
@@ -99,6 +99,14 @@ def test_pipeline(spark, lake):
     assert inputs.select("id").distinct().count() == 59
     assert inputs.filter("label = 1").groupBy("split").count().count() == 2
 
+    run_id = jobs.train(spark, lake, "v1", "E6", "t", [{"depth": 2, "leaf": 2}], replicates=50)
+    assert run_id == "risk-run-E6-dt-v2-w0-t"
+    assert spark.read.parquet(lake.table("gold", "model_outputs")).count() == 59
+    valid, rejected = read_run_records(spark, lake.table("gold", "model_runs"))
+    assert valid.first()["model_name"] == "DT" and rejected.count() == 0
+    metrics = spark.read.json(lake.table("gold", "model_metrics")).first()
+    assert metrics["run_id"] == run_id and metrics["pr_auc_low"] <= metrics["pr_auc_high"]
+
 
 def test_bad_month_publishes_nothing(spark, lake, tmp_path):
     paths = LakePaths.under(str(tmp_path))
