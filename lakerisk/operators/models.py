@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -67,6 +67,12 @@ EXPERIMENTS = [
 RAISES, LOWERS = "raises risk", "lowers risk"
 
 
+def side_by_side(spark, task: Callable, items: Iterable, parallel: int) -> list:
+    """Results of independent Spark jobs submitted from several driver threads, in order."""
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(task), items))
+
+
 def settings(grid: Mapping[str, Sequence]) -> list[dict]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
@@ -77,7 +83,7 @@ def classifier(model: str, setting: Mapping, weight_total: float, seed: int = 42
     if model == "LR":
         # The penalty of this estimator is averaged over the weights, hence 1 / (C * total).
         strength = 1.0 / (setting.get("c", 1.0) * weight_total)
-        return LogisticRegression(**shared, regParam=strength, elasticNetParam=0.0, standardization=False, maxIter=setting.get("max_iter", 1000))
+        return LogisticRegression(**shared, regParam=strength, elasticNetParam=0.0, standardization=False, maxIter=setting.get("max_iter", 1000), tol=1e-5)
     tree = {"maxDepth": setting.get("depth", 5), "minInstancesPerNode": setting.get("leaf", 50), "seed": seed, "maxBins": 64}
     if model == "DT":
         return DecisionTreeClassifier(**shared, **tree, impurity=setting.get("impurity", "gini"))
@@ -199,10 +205,14 @@ class Learner:
         total = features.agg(F.sum("weight").alias("w")).first()["w"]
         return Prepared(prep, rates, prevalence, stages), features, total
 
-    def fit_all(self, train: DataFrame, grid: Sequence[Mapping]) -> list[FittedModel]:
+    def fit_all(self, train: DataFrame, grid: Sequence[Mapping], parallel: int = 4) -> list[FittedModel]:
         """One fitted model per grid setting, over the same prepared rows."""
         before, features, total = self.prepare(train)
-        return [FittedModel(before, classifier(self.model, s, total, self.seed).fit(features)) for s in grid]
+
+        def fit(setting: Mapping) -> FittedModel:
+            return FittedModel(before, classifier(self.model, setting, total, self.seed).fit(features))
+
+        return side_by_side(features.sparkSession, fit, grid, parallel)
 
 
 def _validate_round(train: DataFrame, learner: Learner, grid: Sequence[Mapping], number: int, fit: Column, valid: Column) -> DataFrame:
@@ -238,8 +248,7 @@ def cross_validate(
     def run(item) -> DataFrame:
         return _validate_round(train, learner, grid, *item)
 
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        scored = reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(dataset.sparkSession)(run), rounds))
+    scored = reduce(DataFrame.unionByName, side_by_side(dataset.sparkSession, run, rounds, parallel))
     areas = rank_areas(scored, ["setting", "round"])
     return areas.select("setting", "round", "n", "n_positives", "pr_auc", F.col("expected_recall_1pct").alias("recall_1pct"))
 

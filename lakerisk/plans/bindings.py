@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels"]
 
@@ -129,8 +130,15 @@ BINDINGS["runs"] = f"""
     FROM ({BINDINGS['preds']}) p GROUP BY run_id"""
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    """A driver table. Its schema is read once per process, not at every use."""
+    path = f"{folder}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def bind(spark: SparkSession, folder: str, name: str) -> DataFrame:

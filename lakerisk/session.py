@@ -45,9 +45,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/lakerisk/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{shared_folder(spark)}/lakerisk/{label}-{uuid.uuid4().hex}"
+    """A new, unused path under this application's part of the shared folder."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage_table(df: DataFrame, label: str = "staged") -> DataFrame:
@@ -64,8 +68,9 @@ def stage_table(df: DataFrame, label: str = "staged") -> DataFrame:
 
 
 def drop_scratch(spark: SparkSession) -> bool:
-    """Remove every table staged by this package; call it when results are written."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/lakerisk")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.delete(path, True)
+    """Remove the tables this application has staged; call it once results are written.
+
+    Other applications keep theirs.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lakerisk.operators.ordering import with_rank, with_running_totals
 from lakerisk.operators.quantiles import exact_quantiles
-from lakerisk.session import shared_folder
+from lakerisk.session import drop_scratch, scratch_path, shared_folder, stage_table
 
 
 @pytest.fixture(autouse=True)
@@ -64,3 +64,11 @@ def test_exact_quantiles(spark):
 
 def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_scratch_belongs_to_the_application(spark):
+    table = stage_table(spark.range(3))
+    assert table.count() == 3 and spark.sparkContext.applicationId in scratch_path(spark, "x")
+    assert drop_scratch(spark) is True
+    with pytest.raises(Exception, match="(?i)not exist|FAILED_READ_FILE"):
+        table.count()
