@@ -11,7 +11,8 @@ SERIAL_ORIGIN = "1899-12-30"
 
 def year_month(year: Column, month: Column) -> Column:
     """Text yyyymm."""
-    return F.format_string("%d%02d", year.cast("int"), month.cast("int"))
+    two_digits = F.lpad(month.cast("int").cast("string"), 2, "0")
+    return F.concat(year.cast("int").cast("string"), two_digits)
 
 
 def month_index(yyyymm: Column) -> Column:

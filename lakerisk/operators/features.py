@@ -130,6 +130,13 @@ def with_ref_month(registry: DataFrame) -> DataFrame:
     return registry.withColumn("ref_month", F.lit(DEFAULT_MONTH))
 
 
+def _month_number(df: DataFrame) -> Column:
+    """Months since year zero, straight from year and month where the frame has them."""
+    if "ref_month" not in df.columns and {"year", "month"} <= set(df.columns):
+        return F.col("year").cast("int") * 12 + F.col("month").cast("int")
+    return month_index(F.col("ref_month") if "ref_month" in df.columns else F.lit(DEFAULT_MONTH))
+
+
 def registry_history(snapshots: DataFrame, month: str) -> DataFrame:
     """Months seen, gaps, newness and changes per entity, up to `month`."""
     return registry_histories(snapshots, [month]).drop("ref_month")
@@ -145,15 +152,18 @@ def registry_histories(snapshots: DataFrame, months: list[str]) -> DataFrame:
     """
     tracked = {"billing_mode": "billing_changed", "status": "status_changed"}
     tracked = {c: name for c, name in tracked.items() if c in snapshots.columns}
-    facts = with_ref_month(snapshots).filter(F.col("ref_month") <= max(months)).select(
+    index = lambda m: int(m[:4]) * 12 + int(m[4:])
+    at = _month_number(snapshots)
+    # On a partitioned table this only reads the partitions up to the last month.
+    facts = snapshots.filter(at <= index(max(months))).select(
         F.col("entity_id").cast("long").alias("entity_id"),
-        month_index(F.col("ref_month")).alias("at"),
+        at.alias("at"),
         *[F.trim(c).alias(c) for c in tracked],
     )
     monthly = facts.groupBy("entity_id", "at").agg(
         *[F.min(c).alias(f"{c}_low") for c in tracked], *[F.max(c).alias(f"{c}_high") for c in tracked]
     )
-    seen_by = [F.when(F.col("at") <= int(m[:4]) * 12 + int(m[4:]), F.lit(m)) for m in months]
+    seen_by = [F.when(F.col("at") <= index(m), F.lit(m)) for m in months]
     repeated = monthly.withColumn("ref_month", F.explode(F.array_compact(F.array(*seen_by))))
     changed = [
         F.coalesce(F.min(f"{c}_low") != F.max(f"{c}_high"), F.lit(False)).cast("int").alias(name)
