@@ -1,3 +1,6 @@
+import json
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +83,12 @@ def test_contracts(tmp_path):
     assert sorted(p.name for p in written) == ["orders.v1.json", "registry.v1.json"]
 
 
+@pytest.mark.parametrize("name", sorted(schemas.CONTRACTS))
+def test_stored_contract_equals_the_schema(name):
+    stored = Path(__file__).resolve().parents[1] / "contracts" / f"{name}.v1.json"
+    assert json.loads(stored.read_text()) == schemas.contract_json(name)
+
+
 def test_label_register(spark):
     raw = spark.createDataFrame(
         [("20123456789", "45651", "x ", "1"), ("20123456789", "45000", " y", "2"), ("20999999999", "45100", None, "3")],
