@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from lakerisk.llm import language, line_rules, mixing, ngram_join, quality, toxicity
+from lakerisk.llm import decontamination, hmm, html, language, line_rules, mixing, ngram_join, passages, quality, toxicity
 
 QUERIES = {
     "op1_quality": quality.query,
     "op2_language": language.query,
+    "op3_decontamination": decontamination.query,
     "op4_mixing": mixing.query,
     "op5_ngram_join": ngram_join.query,
+    "op6_hmm": hmm.query,
+    "op7_html": html.query,
     "op8_line_rules": line_rules.query,
     "op9_toxicity": toxicity.query,
+    "op10_passages": passages.query,
 }
 
 ORACLE = {
