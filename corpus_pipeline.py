@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerisk.llm import mixing, ngram_join, quality
+from lakerisk.llm import decontamination, mixing, ngram_join, passages, quality
 from lakerisk.session import stage_table
 
 
@@ -20,6 +20,16 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return ngram_join.keep_one(docs, ngram_join.jaccard_join(docs))
 
 
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document holds as well are cut out; a text of nothing else goes."""
+    return passages.remove_repeats(docs, passages.repeated_passages(docs))
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes of each document that is left."""
     return mixing.digest(docs)
@@ -28,7 +38,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", keep_quality),
     ("n-gram Jaccard join", keep_one_copy),
-    ("mixing sources", mix_sources),
+    ("substring dedup", cut_repeats),
+    ("benchmark decontamination", drop_benchmark),
+    ("mixing sources to target weights", mix_sources),
 ]
 
 # The classifier, the chains and the draws of the mix have no SQL form; see tests/llm.
