@@ -100,7 +100,7 @@ def _cluster(idf: np.ndarray):
         x = _unit(counts(pa.RecordBatch.from_pandas(group[["text"]], preserve_index=False)), idf)
         x = x[x.any(axis=1)]
         if not len(x):
-            return pd.DataFrame({"lang": [], "vector": [], "radius": []})
+            return pd.DataFrame({"lang": [], "vector": [], "radius": []}, dtype=object)
         centres = x[[0]]
         while len(centres) < min(CENTROIDS, len(x)):  # the text furthest from all centres so far
             centres = np.vstack([centres, x[np.argmin((x @ centres.T).max(axis=1))]])

@@ -192,7 +192,8 @@ def _candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 named = {c: batch.column(c) for c in ("id", "component", "copies", "blocks", "pack")}
                 yield pa.RecordBatch.from_pydict({**named, "grams": grams}).filter(pa.array(fits))
 
-    return docs.select(row_key().alias("id"), "text").join(wanted, "id").mapInArrow(
+    # The merge hint keeps one plan at every size; a skewed id is split by AQE.
+    return docs.select(row_key().alias("id"), "text").join(wanted.hint("merge"), "id").mapInArrow(
         run, "id long, component long, copies long, blocks long, pack long, grams binary"
     )
 
@@ -258,7 +259,7 @@ def keep_one(docs: DataFrame, joined: DataFrame) -> DataFrame:
     """
     kept = stage_table(joined.filter("id = class_id").groupBy(F.col("id").alias("_id")).agg(F.count(F.lit(1)).alias("_rows")), "kept")
     blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(text.WORD_PATTERN)
-    chosen = docs.withColumn("_id", row_key()).join(kept, "_id")
+    chosen = docs.withColumn("_id", row_key()).join(kept.hint("merge"), "_id")
     single = chosen.filter((F.col("_rows") == 1) | blank)
     repeated = chosen.filter((F.col("_rows") > 1) & ~blank).dropDuplicates(["_id"])
     return single.union(repeated).select(docs.columns)

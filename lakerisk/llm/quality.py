@@ -67,7 +67,7 @@ def statistics(batch: pa.RecordBatch) -> np.ndarray:
     breaks = np.flatnonzero(data == 10)
     line_starts = np.unique(np.concatenate([offsets[:-1], breaks + 1]))
     line_starts = line_starts[line_starts < len(data)]
-    line_ends = np.append(line_starts[1:], len(data))
+    line_ends = np.append(line_starts[1:], len(data))[: len(line_starts)]
     lines = text.span_hashes(data, line_starts, line_ends - (data[line_ends - 1] == 10))
     line_places = np.searchsorted(line_starts, offsets)
     distinct, entropy, copied = np.zeros(texts), np.zeros(texts), np.zeros(texts)

@@ -48,7 +48,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the offsets of its texts."""
-    column = pc.fill_null(column, "")
+    column = pc.fill_null(column.cast(pa.string()) if pa.types.is_null(column.type) else column, "")
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     kind = np.int64 if pa.types.is_large_string(column.type) else np.int32

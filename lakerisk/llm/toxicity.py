@@ -105,10 +105,10 @@ def matches(folded: str, machine: ahocorasick.Automaton) -> dict[int, float]:
     return {s: m[1] for s, m in found.items()}
 
 
-def _features(value: str | None, machine: ahocorasick.Automaton) -> tuple[float, float, float, float]:
+def _features(value: str | None, machine: ahocorasick.Automaton) -> tuple[float, float, float]:
     folded = fold(value)
     words, weight = max(folded.count(" ") - 1, 0), sum(matches(folded, machine).values())
-    return weight / np.sqrt(words + 10), 100 * weight / (words + 20), np.log1p(weight), np.log1p(words)
+    return weight / np.sqrt(words + 10), 100 * weight / (words + 20), np.log1p(weight)
 
 
 def _terms(folded: str) -> set[str]:
@@ -192,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> Lexicon:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = lexicon.automaton()
         for batch in batches:
-            values = np.array([_features(t, machine) for t in batch.column("text").to_pylist()]).reshape(-1, 4)
+            values = np.array([_features(t, machine) for t in batch.column("text").to_pylist()]).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([pa.array(list(values)), batch.column("label")], names=["x", "y"])
 
     measured = sample.mapInArrow(measure, "x array<double>, y int").toPandas()  # at most `most` rows
@@ -214,7 +214,7 @@ def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
         if not held:
             held.append(lexicon.automaton())
         centre, spread, weights = lexicon.curve
-        x = (np.array([_features(t, held[0]) for t in batch.column("text").to_pylist()]).reshape(-1, 4) - centre) / spread
+        x = (np.array([_features(t, held[0]) for t in batch.column("text").to_pylist()]).reshape(-1, 3) - centre) / spread
         return [1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -500, 500)))]
 
     return rows.with_columns(docs, {"score": T.DoubleType()}, compute)
