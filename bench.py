@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -35,7 +36,8 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{cpus}]",
         **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.ui.enabled": "false",
-           "spark.ui.showConsoleProgress": "false"},
+           "spark.ui.showConsoleProgress": "false",
+           "spark.checkpoint.dir": tempfile.mkdtemp(prefix="spark-", dir="/tmp")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     registered, seconds = queries(), {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import date
 
@@ -36,22 +37,23 @@ def parse_cutoffs(text: str | None = None) -> list[tuple[str, str]]:
     cleaned = (text or "").strip()
     if cleaned.lower() in ("", "todas"):
         return list(DATASET_CUTOFFS.values())
-    return [_parse_cutoff(item) for item in cleaned.split(",")]
+    items = [item.strip() for item in cleaned.split(",")]
+    found = [_CUTOFF.fullmatch(item) for item in items]
+    bad = [item for item, match in zip(items, found) if match is None or not all(map(_is_day, (match[1] + "01", match[2])))]
+    if bad:
+        raise ValueError(f"bad cut-offs (expected yyyymm:yyyy-mm-dd): {bad}")
+    return [(match[1], match[2]) for match in found]
 
 
-def _parse_cutoff(item: str) -> tuple[str, str]:
-    month, _, day = item.strip().partition(":")
-    well_formed = len(month) == 6 and month.isdigit() and month[4:] in _MONTHS
-    if not well_formed:
-        raise ValueError(f"bad cut-off month (expected yyyymm): {item!r}")
-    try:
-        date.fromisoformat(day)
-    except ValueError as error:
-        raise ValueError(f"bad cut-off date (expected yyyy-mm-dd): {item!r}") from error
-    return month, day
+_CUTOFF = re.compile(r"(\d{6}):(\d{4}-\d{2}-\d{2})")
 
 
-_MONTHS = {f"{m:02d}" for m in range(1, 13)}
+def _is_day(text: str) -> bool:
+    try:
+        date.fromisoformat(text)
+    except ValueError:
+        return False
+    return True
 
 
 @dataclass(frozen=True)

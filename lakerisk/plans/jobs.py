@@ -33,9 +33,11 @@ ORDERS = Feed("orders", schemas.ORDER_COLUMNS, schemas.ORDER_DATES, dedup.keep_l
 
 
 def ingest(spark: SparkSession, paths: LakePaths, feed: Feed) -> dict[str, int]:
-    """Raw CSV to bronze: typed rows by month, rejects apart; returns the rows written.
+    """Raw CSV to bronze: typed rows by month, rejects apart; returns the rows of both tables.
 
-    The parsed rows are staged once, so the text is not parsed again for each side.
+    Only the months in the raw folder are replaced, in the bronze table and among its rejects;
+    other months stay. The parsed rows are staged once, so the text is not parsed again for
+    each side.
     """
     _, schema = schemas.CONTRACTS[feed.name]
     raw_names = {neutral: raw for raw, _, neutral in feed.columns}
@@ -45,7 +47,14 @@ def ingest(spark: SparkSession, paths: LakePaths, feed: Feed) -> dict[str, int]:
         clean, out_of_range = quarantine.split_by_year(clean, [raw_names[c] for c in feed.dates])
         rejected = quarantine.merge_rejects(rejected, out_of_range)
     bronze, aside = paths.table("bronze", feed.name), paths.quarantine("bronze", feed.name)
-    writers.write_partitioned(clean, bronze, schemas.PARTITION_COLUMNS)
+    earlier = readers.read_optional(spark, aside)
+    if earlier is not None:
+        touched = stage_table(parsed.select(*schemas.PARTITION_COLUMNS).distinct(), "touched")
+        same = [earlier[c].eqNullSafe(touched[c]) for c in schemas.PARTITION_COLUMNS]
+        rejected = rejected.unionByName(earlier.join(touched, same, "left_anti"), allowMissingColumns=True)
+    # Stored before the overwrite, because the rejects kept are read from the table it replaces.
+    rejected = stage_table(rejected, "rejects")
+    writers.write_partitioned(clean, bronze, schemas.PARTITION_COLUMNS, only_touched=True)
     writers.write_whole(rejected, aside)
     return {"clean": readers.written_rows(spark, bronze), "rejected": readers.written_rows(spark, aside)}
 
@@ -65,10 +74,13 @@ def clean(spark: SparkSession, paths: LakePaths, feed: Feed, maximum: float = MA
     quality.gate_reject_rate(report, maximum)
 
     live, live_rejects = paths.table("silver", feed.name), paths.quarantine("silver", feed.name)
+    for path in (live, live_rejects):  # what a failed run left there must not be published
+        writers.discard(spark, staging_path(path))
     writers.write_partitioned(silver, staging_path(live), MONTHLY)
     quality.gate_written(report, spark.read.parquet(staging_path(live)))
     writers.write_if_any(rejected, staging_path(live_rejects), MONTHLY)
-    writers.publish(spark, live)
+    totals = report.agg(F.sum("n_silver").alias("rows")).first()
+    writers.publish(spark, live, expected_rows=totals["rows"] or 0)
     writers.publish(spark, live_rejects, optional=True)
     writers.write_partitioned(report, paths.table("silver", "quality_report"), ["source"], only_touched=True)
     return report

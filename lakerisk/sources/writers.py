@@ -54,6 +54,12 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop.Path
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a staged table if there is one."""
+    fs, to_path = _file_system(spark, path)
+    fs.delete(to_path(path), True)
+
+
 def publish(spark: SparkSession, live: str, expected_rows: int | None = None, optional: bool = False) -> int:
     """Move the staged table over the live one once its rows are verified.
 

@@ -190,3 +190,15 @@ def test_quadrants(spark):
     df = spark.createDataFrame(rows, "region string, active_entities bigint, informal_pct double")
     got = {r["region"]: r["quadrant"] for r in views.quadrants(df).collect()}
     assert got == {"A": "Alto RUC / Alta Informalidad", "B": "Alto RUC / Alta Informalidad", "C": "Alto RUC / Alta Informalidad", "D": "Alto RUC / Alta Informalidad"}
+
+
+def test_poisson_draws_are_exact_at_every_mean():
+    import numpy as np
+    import pandas as pd
+
+    from lakerisk.operators.evaluation import _poisson_draw
+
+    draw, uniform = _poisson_draw().func, pd.Series(np.random.default_rng(0).random(40_000))
+    for mean in (0.0, 0.5, 50.0, 60.0, 130.0, 400.0):
+        got = draw(uniform, pd.Series(np.full(len(uniform), mean)))
+        assert abs(got.mean() - mean) < 0.02 * mean + 1e-9 and abs(got.var() - mean) < 0.05 * mean + 1e-9

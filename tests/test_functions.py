@@ -92,3 +92,23 @@ def test_cutoffs_and_paths():
         cutoff_of("v9")
     assert staging_path("s3://bucket/silver/orders") == "s3://bucket/_staging/silver/orders"
     assert LakePaths.under("/lake").quarantine("silver", "orders") == "/lake/silver/quarantine_orders"
+
+
+def test_all_bad_cutoffs_are_named_at_once():
+    with pytest.raises(ValueError, match="202513.*junio"):
+        parse_cutoffs("202513:2025-06-30,202506:2025-06-30,202506:junio")
+
+
+def test_scratch_needs_a_shared_folder_off_one_machine():
+    from types import SimpleNamespace
+
+    from lakerisk.session import shared_folder
+
+    for master, fails in (("spark://host:7077", True), ("yarn", True), ("local-cluster[2,1,1024]", True), ("local[4]", False)):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        fake = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default, set=lambda key, value: None), sparkContext=context)
+        if fails:
+            with pytest.raises(RuntimeError):
+                shared_folder(fake)
+        else:
+            assert shared_folder(fake).startswith("/tmp/spark-")

@@ -123,3 +123,31 @@ def test_contract_breach_stops_before_writing(spark, tmp_path):
     spark.createDataFrame([(1, 2025, 1)], "RUC bigint, anio int, mes int").write.partitionBy("anio", "mes").parquet(paths.table("bronze", "registry"))
     with pytest.raises(schemas.ContractError, match="missing column Estado"):
         jobs.clean(spark, paths, jobs.REGISTRY)
+
+
+def test_ingest_keeps_the_months_it_does_not_touch(spark, tmp_path):
+    import shutil
+
+    paths = LakePaths.under(str(tmp_path / "lake"))
+    for month in (5, 6):
+        write_csv(paths, "registry", month, schemas.REGISTRY_COLUMNS, registry_rows(month))
+        jobs.ingest(spark, paths, jobs.REGISTRY)
+        shutil.rmtree(paths.table("raw", "registry"))
+    bronze = spark.read.parquet(paths.table("bronze", "registry"))
+    assert {r["mes"]: r["count"] for r in bronze.groupBy("mes").count().collect()} == {5: 61, 6: 61}
+    assert read_optional(spark, paths.quarantine("bronze", "registry")).count() == 2
+    write_csv(paths, "registry", 5, schemas.REGISTRY_COLUMNS, list(registry_rows(5))[:10])
+    assert jobs.ingest(spark, paths, jobs.REGISTRY) == {"clean": 71, "rejected": 1}
+
+
+def test_what_a_failed_run_staged_is_not_published(spark, tmp_path):
+    from lakerisk.config import staging_path
+
+    paths = LakePaths.under(str(tmp_path / "lake"))
+    write_csv(paths, "registry", 5, schemas.REGISTRY_COLUMNS, list(registry_rows(5))[:60])
+    jobs.ingest(spark, paths, jobs.REGISTRY)
+    stale = staging_path(paths.quarantine("silver", "registry"))
+    spark.range(3).write.parquet(stale)
+    jobs.clean(spark, paths, jobs.REGISTRY)
+    assert read_optional(spark, paths.quarantine("silver", "registry")) is None
+    assert spark.read.parquet(paths.table("silver", "registry")).count() == 60
