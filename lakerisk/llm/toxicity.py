@@ -100,9 +100,8 @@ def matches(folded: str, machine: ahocorasick.Automaton) -> dict[int, float]:
             excepted.append((start, end))
         else:
             found[start] = (size, weight)  # longer terms at the same start end later
-    if excepted:
-        found = {s: m for s, m in found.items() if not any(a <= s < b for a, b in excepted)}
-    return {s: m[1] for s, m in found.items()}
+    covered = {s for a, b in excepted for s in range(a, b)}
+    return {s: m[1] for s, m in found.items() if s not in covered}
 
 
 def _features(value: str | None, machine: ahocorasick.Automaton) -> tuple[float, float, float]:
