@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,7 @@ DIMENSIONS = 4096
 CENTROIDS = 4
 ROUNDS = 10
 SAMPLE_ROWS = 1_000
+RANGE_BITS = 12
 # A text is rejected below this share of the cosine that 99 of 100 members reach.
 SLACK = 0.8
 UNKNOWN = "und"
@@ -117,16 +118,34 @@ def _cluster(idf: np.ndarray):
     return run
 
 
+def _order() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
+def _chosen(known: DataFrame, most: int) -> DataFrame:
+    """(doc_id, lang, order) of the `most` rows of each language with the smallest hash.
+
+    Counts per range of the hash tell up to which range rows are needed, so a language with very
+    many rows sends few of them to the task that numbers its rows.
+    """
+    keyed = known.select("doc_id", "lang", _order().alias("order")).withColumn("range", F.shiftright("order", 64 - RANGE_BITS))
+    counted = keyed.groupBy("lang", "range").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("range")) - F.col("n")
+    last = counted.withColumn("before", before).filter(F.col("before") < most).groupBy("lang").agg(F.max("range").alias("last"))
+    # One row per language, as many as the model holds centroids for.
+    near = keyed.join(F.broadcast(last), "lang").filter(F.col("range") <= F.col("last"))
+    first = Window.partitionBy("lang").orderBy("order", "doc_id")
+    return near.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= most).select("doc_id", "lang", "order")
+
+
 def fit(docs: DataFrame, most: int = SAMPLE_ROWS) -> Centroids:
     """Learn from the rows of `docs` (doc_id, text, lang) that have a language."""
     known = docs.filter("lang is not null").select("doc_id", "text", "lang")
     frequency, texts = _frequencies(known)
     idf = np.log((1 + texts) / (1 + frequency)).astype(np.float32) + np.float32(0.1)
-    order = F.xxhash64("doc_id", "text")
-    first = Window.partitionBy("lang").orderBy("order", "doc_id")
-    chosen = known.select("doc_id", "lang", order.alias("order")).withColumn("place", F.row_number().over(first)).filter(F.col("place") <= most)
     # At most `most` pairs of numbers a language: a bounded broadcast.
-    sample = known.withColumn("order", order).join(F.broadcast(chosen.select("doc_id", "order").distinct()), ["doc_id", "order"])
+    chosen = F.broadcast(_chosen(known, most).select("doc_id", "order").distinct())
+    sample = known.withColumn("order", _order()).join(chosen, ["doc_id", "order"])
     found = sample.groupBy("lang").applyInPandas(_cluster(idf), "lang string, vector array<double>, radius double")
     held = sorted(found.collect(), key=lambda r: (r["lang"], r["vector"]))  # a few rows per language
     vectors = np.array([r["vector"] for r in held], dtype=np.float32).reshape(-1, DIMENSIONS)

@@ -104,6 +104,15 @@ def test_language_held_out_and_odd_rows(spark, documents, odd_rows):
     assert {r["lang_pred"] for r in language.identify(documents(odd_rows), nothing).collect()} == {"und"}
 
 
+def test_language_sample_is_the_smallest_hashes(documents):
+    docs = documents([(i % 900, f"text {i % 700}", "a" if i % 10 else "b") for i in range(3000)])
+    keyed = docs.withColumn("order", language._order()).select("lang", "order", "doc_id").collect()
+    for most in (1, 40, 5000):
+        got = sorted((r["lang"], r["order"], r["doc_id"]) for r in language._chosen(docs, most).collect())
+        assert got == sorted(t for lang in "ab" for t in sorted(tuple(r) for r in keyed if r["lang"] == lang)[:most])
+    assert language._chosen(documents([]), 5).count() == 0
+
+
 def test_mix_holds_targets_and_limits(documents, odd_rows):
     docs = documents([(i, "w " * (1 + i % 37), None, ["a", "b", "c", None][i % 4 if i % 3 else 0]) for i in range(4000)])
     got = mixing.mix(docs).toPandas()
