@@ -66,7 +66,25 @@ def stage_table(df: DataFrame, label: str = "staged") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_path = path
+    return staged
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_staged(*tables: DataFrame) -> None:
+    """Remove tables that `stage_table` returned, once all that reads them is stored itself.
+
+    Shared disk then holds what is still needed and not every step of a long job. Other tables
+    (a plain scan, a table derived from a staged one) are left alone.
+    """
+    for table in tables:
+        if path := vars(table).get("_staged_path"):
+            _delete(table.sparkSession, path)
 
 
 def drop_scratch(spark: SparkSession) -> bool:
@@ -74,5 +92,4 @@ def drop_scratch(spark: SparkSession) -> bool:
 
     Other applications keep theirs.
     """
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return _delete(spark, _own_folder(spark))

@@ -1,10 +1,12 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakerisk.operators.ordering import with_rank, with_running_totals
 from lakerisk.operators.quantiles import exact_quantiles
-from lakerisk.session import drop_scratch, scratch_path, shared_folder, stage_table
+from lakerisk.session import drop_scratch, drop_staged, scratch_path, shared_folder, stage_table
 
 
 @pytest.fixture(autouse=True)
@@ -72,3 +74,13 @@ def test_scratch_belongs_to_the_application(spark):
     assert drop_scratch(spark) is True
     with pytest.raises(Exception, match="(?i)not exist|FAILED_READ_FILE"):
         table.count()
+
+
+def test_superseded_tables_go_and_others_stay(spark, tmp_path):
+    first, second = stage_table(spark.range(5), "first"), stage_table(spark.range(7), "second")
+    folders = [Path(t.inputFiles()[0].removeprefix("file://")).parent for t in (first, second)]
+    spark.range(3).write.parquet(f"{tmp_path}/plain")
+    plain = spark.read.parquet(f"{tmp_path}/plain")
+    drop_staged(first, plain, second.filter("id > 2"))
+    assert [f.exists() for f in folders] == [False, True]
+    assert (plain.count(), second.count()) == (3, 7)
