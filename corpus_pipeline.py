@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakerisk.llm import decontamination, mixing, ngram_join, passages, quality
-from lakerisk.session import stage_table
+from lakerisk.session import drop_staged, stage_table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,5 +51,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stage_table(stage(spark, docs, sf_dir), name.split()[0])
+        before, docs = docs, stage_table(stage(spark, docs, sf_dir), name.split()[0])
+        drop_staged(before)
     return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakerisk.session import stage_table
+from lakerisk.session import drop_staged, stage_table
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -29,14 +29,21 @@ def components(edges: DataFrame) -> DataFrame:
             labels = moves
         else:
             step = moves.withColumnsRenamed({"node": "at", "to": "next"})
+            older = labels
             labels = stage_table(
-                labels.join(step, F.col("to") == F.col("at"), "left").select("node", F.coalesce("next", "to").alias("to")), "labels"
+                older.join(step, F.col("to") == F.col("at"), "left").select("node", F.coalesce("next", "to").alias("to")), "labels"
             )
+            drop_staged(older)
         x, y = (moves.withColumnsRenamed({"node": n, "to": f"to_{n}"}) for n in ("a", "b"))
+        wider = left
         left = stage_table(
-            left.join(x, "a").join(y, "b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b")).filter("a <> b").distinct(), "edges"
+            wider.join(x, "a").join(y, "b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b")).filter("a <> b").distinct(), "edges"
         )
+        drop_staged(wider)
+        if turn > 1:
+            drop_staged(moves)
     if labels is None:
         return left.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    drop_staged(left)
     smallest = stage_table(labels.groupBy("to").agg(F.min("node").alias("component")), "smallest")
     return labels.join(smallest, "to").select("node", "component")

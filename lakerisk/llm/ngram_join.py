@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lakerisk.llm import text
 from lakerisk.llm.graph import components
-from lakerisk.session import stage_table
+from lakerisk.session import drop_staged, stage_table
 
 N_WORDS = 5
 THRESHOLD = 0.8
@@ -220,6 +220,7 @@ def jaccard_join(docs: DataFrame, size: int = N_WORDS, threshold: float = THRESH
     candidates = stage_table(
         components(shared).join(classes.drop("bands"), F.col("node") == F.col("id")).select("id", "high", "low", "copies", "n_grams", "component"), "candidates"
     )
+    drop_staged(buckets)
     sizes = candidates.groupBy("component").agg(F.sum("n_grams").alias("grams"), F.count(F.lit(1)).alias("n")).select(
         "component", F.greatest(F.ceil(F.col("grams") / BLOCK_GRAMS), F.ceil(F.col("n") / BLOCK_ROWS)).alias("blocks")
     )
@@ -227,9 +228,11 @@ def jaccard_join(docs: DataFrame, size: int = N_WORDS, threshold: float = THRESH
     packs = max(1, math.ceil(2 * total / BLOCK_GRAMS))
     # Components of one block share packs of bounded size; a larger one is a pack of its own.
     pack = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(packs)) - packs).otherwise(F.col("component"))
+    sized = stage_table(sizes, "sizes")
     wanted = stage_table(
-        candidates.join(stage_table(sizes, "sizes"), "component").select("id", "high", "low", "copies", "component", "blocks", pack.alias("pack")), "wanted"
+        candidates.join(sized, "component").select("id", "high", "low", "copies", "component", "blocks", pack.alias("pack")), "wanted"
     )
+    drop_staged(candidates, sized)
     block = F.pmod(F.xxhash64("id"), F.col("blocks"))
     blocked = _candidate_sets(docs, wanted, size).withColumn("block", block).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
@@ -238,15 +241,18 @@ def jaccard_join(docs: DataFrame, size: int = N_WORDS, threshold: float = THRESH
     verified = stage_table(
         paired.groupBy("pack", "first", "second").applyInPandas(_compare(threshold), "id long, links long, root long"), "verified"
     )
+    drop_staged(wanted)
     counted = stage_table(verified.groupBy("id").agg(F.sum("links").alias("links")), "links")
     rooted = stage_table(components(verified.select(F.col("id").alias("a"), F.col("root").alias("b"))), "rooted")
+    drop_staged(verified)
     found = stage_table(
         classes.select("high", "low", "id", "copies")
         .join(rooted.withColumnRenamed("node", "id"), "id", "left")
         .join(counted, "id", "left")
         .select("high", "low", F.coalesce("component", "id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")),
-        "classes",
+        "found",
     )
+    drop_staged(classes, rooted, counted)
     linked = signed.filter("n_grams > 0").select("id", "high", "low").join(found, ["high", "low"]).select("id", "class_id", "n_links")
     return linked.union(signed.filter("n_grams = 0").select("id", F.col("id").alias("class_id"), F.lit(0).cast("long")))
 
