@@ -106,7 +106,8 @@ def rank_areas(preds: DataFrame, groups: Sequence[str] = RUN) -> DataFrame:
 
 
 def _cutoffs(ks: Sequence[int], size: Column) -> dict[str, Column]:
-    fixed = {str(k): F.least(F.lit(k).cast("long"), size) for k in ks}
+    """Rows each cut-off takes; null for an absolute one above the number of rows."""
+    fixed = {str(k): F.when(size >= k, F.lit(k).cast("long")) for k in ks}
     part = {name: F.greatest(F.lit(1).cast("long"), F.ceil(F.lit(x) * size)) for name, x in RELATIVE_KS.items()}
     return fixed | part
 
@@ -116,6 +117,7 @@ def ranking_metrics(preds: DataFrame, groups: Sequence[str] = RUN, ks: Sequence[
 
     The ordered pass gives rank and running positives. The first aggregate merges tied
     scores (and counts the positives inside each cut-off), the second sums over scores.
+    Metrics at an absolute K above the rows of a group are null.
     """
     rows = walk(preds, groups)
     cuts = _cutoffs(ks, F.col("rank_all"))
@@ -147,8 +149,8 @@ def ranking_metrics(preds: DataFrame, groups: Sequence[str] = RUN, ks: Sequence[
         tp = F.col(f"tp_{c}")
         out += [
             (tp / k).alias(f"precision_{c}"),
-            F.coalesce(tp / F.nullif(positives, F.lit(0)), F.lit(0.0)).alias(f"recall_{c}"),
-            F.coalesce((tp / k) / (F.nullif(positives, F.lit(0)) / size), F.lit(1.0)).alias(f"lift_{c}"),
+            F.when(k.isNotNull(), F.coalesce(tp / F.nullif(positives, F.lit(0)), F.lit(0.0))).alias(f"recall_{c}"),
+            F.when(k.isNotNull(), F.coalesce((tp / k) / (F.nullif(positives, F.lit(0)) / size), F.lit(1.0))).alias(f"lift_{c}"),
         ]
     for c in RELATIVE_KS:
         tp, k = F.col(f"tp_{c}"), final[c]

@@ -9,6 +9,10 @@ from lakerisk.config import DATASET_CUTOFFS, RUN_PREFIX
 from lakerisk.functions.text import experiment_of
 from lakerisk.operators.ordering import with_rank
 
+# Parts a group is cut into before its highest rows are chosen.
+PARTS = 64
+
+
 def by_score() -> list[Column]:
     """Score descending, id ascending: the one order used for every ranking."""
     return [F.col("score").desc(), F.col("id").asc()]
@@ -29,16 +33,27 @@ def rank_in_split(preds: DataFrame) -> DataFrame:
     return ranked.withColumn("rank_percentile", F.col("rank_in_split") / F.col("n_in_split"))
 
 
+def _first_k(rows: DataFrame, groups: list[str], k: int, name: str) -> DataFrame:
+    """The k highest of every group, numbered in `name`.
+
+    Two levels: the k highest of each part of a group (parts by hash of the id), then those of
+    the group. The limit applies before each shuffle, so however many tasks hold rows of a hot
+    group, its last task meets at most k rows of each part.
+    """
+    part = F.pmod(F.xxhash64("id"), F.lit(PARTS))
+    inside = Window.partitionBy(*groups, "_part").orderBy(*by_score())
+    whole = Window.partitionBy(*groups).orderBy(*by_score())
+    leading = rows.withColumn("_part", part).withColumn("_turn", F.row_number().over(inside)).filter(F.col("_turn") <= k)
+    numbered = leading.drop("_part", "_turn").withColumn(name, F.row_number().over(whole).cast("long"))
+    return numbered.filter(F.col(name) <= k)
+
+
 def top_per_split(preds: DataFrame, k: int = 1000) -> DataFrame:
     """The k highest of every run and split, with size and percentile.
 
-    The limit applies before the shuffle (group limit), so a split with most of the
-    rows sends at most k rows per task; the size is a separate small aggregate.
+    The size is a separate small aggregate.
     """
-    window = Window.partitionBy("run_id", "split").orderBy(*by_score())
-    top = preds.withColumn("rank_in_split", F.row_number().over(window).cast("long")).filter(
-        F.col("rank_in_split") <= k
-    )
+    top = _first_k(preds, ["run_id", "split"], k, "rank_in_split")
     return top.join(part_sizes(preds), ["run_id", "split"]).withColumn(
         "rank_percentile", F.col("rank_in_split") / F.col("n_in_split")
     )
@@ -49,12 +64,7 @@ def top_per_region(ranked: DataFrame, k: int = 20) -> DataFrame:
 
     Equal scores are ordered by id, so that the result is repeatable.
     """
-    window = Window.partitionBy("run_id", "split", "region").orderBy(*by_score())
-    return (
-        ranked.filter(F.col("region").isNotNull())
-        .withColumn("rank_in_region", F.row_number().over(window).cast("long"))
-        .filter(F.col("rank_in_region") <= k)
-    )
+    return _first_k(ranked.filter(F.col("region").isNotNull()), ["run_id", "split", "region"], k, "rank_in_region")
 
 
 def flag_latest_runs(runs: DataFrame, prefix: str = RUN_PREFIX) -> DataFrame:

@@ -303,16 +303,11 @@ def baseline_random(spark, d):
 
 
 def view_audit_ranking(spark, d):
-    months = {"v1": MONTH, "v2": MONTH, "v3": "200103"}
-    known = ranking.version_months(spark).withColumnRenamed("ref_month", "_month")
-    shift = F.col("ref_month")
-    facts = _one_month(spark, d)
-    # The bound registry lies in 2001; its month takes the place of each version's month.
-    placed = None
-    for version, month in months.items():
-        official = known.filter(F.col("dataset_version") == version).select("_month").scalar()
-        part = facts.filter(shift == month).withColumn("ref_month", official)
-        placed = part if placed is None else placed.unionByName(part)
+    # The bound registry lies in 2001: one of its months stands for the month of each version.
+    stands = spark.createDataFrame([("v1", MONTH), ("v2", MONTH), ("v3", "200103")], "dataset_version string, bound string")
+    official = ranking.version_months(spark).join(stands, "dataset_version").select("bound", F.col("ref_month").alias("official"))
+    facts = _features(spark, d, CUTOFFS)
+    placed = facts.join(official, F.col("ref_month") == F.col("bound")).withColumn("ref_month", F.col("official"))
     shown = views.audit_ranking(_preds(spark, d), bind(spark, d, "runs"), placed)
     return shown.drop("points")
 
@@ -325,7 +320,7 @@ def view_leaderboard(spark, d):
 
 
 def flat_metric_rows(spark, d):
-    return evaluation.flat_metrics(_preds(spark, d), replicates=100)
+    return evaluation.flat_metrics(_preds(spark, d), replicates=1000)
 
 
 def run_summary(spark, d):
@@ -515,7 +510,7 @@ def queries() -> dict[str, Query]:
         "ranking_metrics": _official,
         "rank_areas": lambda s, d: _rounded(evaluation.rank_areas(_preds(s, d)), ["pr_auc", "roc_auc", "expected_recall_1pct"]),
         "segment_metrics": lambda s, d: _rounded(evaluation.segment_metrics(_preds(s, d)), ["pr_auc"]),
-        "bootstrap_interval": lambda s, d: evaluation.bootstrap_interval(_preds(s, d), replicates=200),
+        "bootstrap_interval": lambda s, d: evaluation.bootstrap_interval(_preds(s, d)),
         "flat_metrics": flat_metric_rows,
         "pr_points": lambda s, d: curves.precision_recall_points(_preds(s, d)),
         "roc_points": lambda s, d: curves.roc_points(_preds(s, d)),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakerisk.config import MAX_REJECT_RATE, LakePaths, cutoff_of, parse_cutoffs, staging_path
 from lakerisk.operators import curation, dedup, evaluation, features, models, quality, quarantine, regional
 from lakerisk.operators.encoding import standard_encodings
-from lakerisk.session import stage_table
+from lakerisk.session import drop_staged, stage_table
 from lakerisk.sources import readers, schemas, small, writers
 
 MONTHLY = ["year", "month"]
@@ -83,6 +83,7 @@ def clean(spark: SparkSession, paths: LakePaths, feed: Feed, maximum: float = MA
     writers.publish(spark, live, expected_rows=totals["rows"] or 0)
     writers.publish(spark, live_rejects, optional=True)
     writers.write_partitioned(report, paths.table("silver", "quality_report"), ["source"], only_touched=True)
+    drop_staged(entered)
     return report
 
 

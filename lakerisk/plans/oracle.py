@@ -193,7 +193,7 @@ _ROC = "sum((n - p) * (pu - p + p / 2.0::DOUBLE) / nullif(pa * (na - pa), 0)::DO
 
 def _at_k(keys: str, source: str, ks=(100, 500), label_digits: int = 9) -> str:
     """SELECT of the metrics at K from ranked rows (r, m, pos, label, score)."""
-    cuts = {str(k): f"least({k}, m)" for k in ks} | {
+    cuts = {str(k): f"CASE WHEN m >= {k} THEN {k} END" for k in ks} | {
         "0_1pct": "greatest(1, CAST(ceil(0.001::DOUBLE * m) AS BIGINT))",
         "1pct": "greatest(1, CAST(ceil(0.01::DOUBLE * m) AS BIGINT))",
         "5pct": "greatest(1, CAST(ceil(0.05::DOUBLE * m) AS BIGINT))",
@@ -204,8 +204,8 @@ def _at_k(keys: str, source: str, ks=(100, 500), label_digits: int = 9) -> str:
         kk = f"any_value({k})"
         cols += [
             f"{tp}::DOUBLE / {kk} AS precision_{c}",
-            f"coalesce({tp}::DOUBLE / nullif(any_value(pos), 0), 0) AS recall_{c}",
-            f"coalesce(({tp}::DOUBLE / {kk}) / (nullif(any_value(pos), 0)::DOUBLE / any_value(m)), 1) AS lift_{c}",
+            f"CASE WHEN {kk} IS NOT NULL THEN coalesce({tp}::DOUBLE / nullif(any_value(pos), 0), 0) END AS recall_{c}",
+            f"CASE WHEN {kk} IS NOT NULL THEN coalesce(({tp}::DOUBLE / {kk}) / (nullif(any_value(pos), 0)::DOUBLE / any_value(m)), 1) END AS lift_{c}",
         ]
         if c.endswith("pct"):
             cols += [
@@ -406,7 +406,7 @@ def oracle_sql() -> dict[str, str]:
               WHEN active_entities >= active_median AND informal_pct < informal_median THEN 'Alto RUC / Baja Informalidad'
               WHEN active_entities < active_median AND informal_pct >= informal_median THEN 'Bajo RUC / Alta Informalidad' ELSE 'Bajo RUC / Baja Informalidad' END AS quadrant,
               active_median, informal_median FROM g CROSS JOIN m""",
-        "view_audit_ranking": f"""{runs}, {_RANKED}, fe AS ({_features(MONTH, ORDER_CUTOFF)}), mv AS (SELECT * FROM (VALUES ('v1', '{MONTH}'), ('v2', '{MONTH}'), ('v3', '200103')) t(dataset_version, ref_month))
+        "view_audit_ranking": f"""{runs}, {_RANKED}, fe AS ({" UNION ALL ".join(f"({_features(m, c)})" for m, c in CUTOFFS)}), mv AS (SELECT * FROM (VALUES ('v1', '{MONTH}'), ('v2', '{MONTH}'), ('v3', '200103')) t(dataset_version, ref_month))
             SELECT k.run_id, r.model_name, r.variant, r.dataset_version, r.experiment, r.is_latest, k.split, CAST(k.id AS STRING) AS id, k.score, k.label, k.r AS rank_in_split,
               k.r / k.m::DOUBLE AS rank_percentile, k.region, k.has_contracts, f.entity_type, f.activity, f.workers, f.n_orders, f.total_amount, f.n_buyers, f.excluded, f.affiliated,
               f.contract_age_days, f.aff_age_days, f.aff_n_types, f.status_changed, f.billing_changed, f.months_gap, f.new_in_period, f.months_seen

@@ -202,3 +202,23 @@ def test_poisson_draws_are_exact_at_every_mean():
     for mean in (0.0, 0.5, 50.0, 60.0, 130.0, 400.0):
         got = draw(uniform, pd.Series(np.full(len(uniform), mean)))
         assert abs(got.mean() - mean) < 0.02 * mean + 1e-9 and abs(got.var() - mean) < 0.05 * mean + 1e-9
+
+
+def test_cut_off_above_the_rows_gives_null(spark):
+    got = one(evaluation.ranking_metrics(preds(spark, [1, 0, 0], [0.9, 0.5, 0.1]), ks=[3, 4]))
+    assert (got["precision_3"], got["recall_3"], got["lift_3"]) == (pytest.approx(1 / 3), 1.0, 1.0)
+    assert (got["precision_4"], got["recall_4"], got["lift_4"]) == (None, None, None)
+    none = one(evaluation.ranking_metrics(preds(spark, [0, 0, 0], [0.9, 0.5, 0.1]), ks=[3, 4]))
+    assert (none["recall_3"], none["lift_3"], none["recall_4"], none["lift_4"]) == (0.0, 1.0, None, None)
+
+
+def test_top_of_a_split_with_ties_over_all_parts(spark):
+    df = preds(spark, [0] * 900, [i % 3 for i in range(900)]).repartition(7)
+    got = [(r["id"], r["rank_in_split"]) for r in ranking.top_per_split(df, 305).orderBy("rank_in_split").collect()]
+    wanted = [i for i in range(900) if i % 3 == 2] + [i for i in range(900) if i % 3 == 1][:5]
+    assert got == [(f"{i:011d}", k + 1) for k, i in enumerate(wanted)]
+
+
+def test_interval_of_a_group_whose_positives_lead(spark):
+    got = one(evaluation.bootstrap_interval(preds(spark, [1] * 20 + [0] * 80, [1 - i / 100 for i in range(100)])))
+    assert (got["pr_auc_low"], got["pr_auc_high"]) == (pytest.approx(1.0), pytest.approx(1.0)) and got["replicates"] == 1000
