@@ -111,6 +111,38 @@ def test_passages_are_found_whole(documents, passage_rows):
     assert got[3, 1]["start"] == 0 and got[3, 1]["n_words"] == 79 and got[3, 1]["edits"] == 3
 
 
+def covered(found, ident):
+    return {k for r in found if r["id"] == ident for k in range(r["start"], r["start"] + r["n_words"])}
+
+
+def test_passages_whose_parts_stand_in_earlier_documents(documents):
+    one, two = prose(60, 40), prose(61, 40)
+    rows = [(1, " ".join(prose(62, 30) + one)), (2, " ".join(two + prose(63, 30))), (3, " ".join(prose(64, 20) + one + two)), (4, " ".join(one + two + prose(65, 20)))]
+    found = passages.repeated_passages(documents(rows)).collect()
+    assert covered(found, 4) == set(range(80)) and {(r["id"], r["other"]) for r in found} == {(4, 3)}
+
+
+def test_passages_that_cycle(documents):
+    for period in (2, 3, 7, 40):
+        cycle = prose(66, period) * 120
+        rows = [(1, " ".join(prose(67, 9) + cycle[:200])), (2, " ".join(prose(68, 5) + cycle[1:160] + prose(69, 60)))]
+        found = passages.repeated_passages(documents(rows)).collect()
+        assert covered(found, 2) >= set(range(5, 164)), period
+
+
+def test_runs_left_out_stand_in_no_other_document():
+    draw = np.random.default_rng(4)
+    for n in (50, 51, 70):
+        for _ in range(40):
+            texts = [draw.integers(0, 1 << 60, 150).astype(np.uint64) for _ in range(2)]
+            texts[1][30 : 30 + n] = texts[0][60 : 60 + n]
+            grams = [passages.text.gram_hashes(x, passages.SEED_WORDS) for x in texts]
+            chosen = [passages.minimisers(g) for g in grams]
+            shared = [c[np.isin(g[c], h[d])] for g, c, h, d in zip(grams, chosen, grams[::-1], chosen[::-1])]
+            (x, _), (y, at) = (passages.whole_runs(t, s) for t, s in zip(texts, shared))
+            assert at[np.isin(y, x)].tolist() == list(range(30, 30 + n - 49))
+
+
 def test_repeats_are_cut_from_later_documents(documents, passage_rows):
     docs = documents(passage_rows)
     left = {r["doc_id"]: r for r in passages.remove_repeats(docs, passages.repeated_passages(docs)).collect()}
