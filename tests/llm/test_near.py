@@ -130,6 +130,27 @@ def test_passages_that_cycle(documents):
         assert covered(found, 2) >= set(range(5, 164)), period
 
 
+def test_edited_passages_are_found(documents):
+    rows, wanted = [], set()
+    for k, every in enumerate((6, 7, 8, 10, 12) * 4):
+        base, draw = prose(100 + k, 62), random.Random(k)
+        edited = base.copy()
+        for at in range(60 - every // 2, 0, -every):  # similar to at least 5 words in 6
+            edited[at : at + 1] = {"s": [f"n{k}x{at}"], "d": [], "i": [base[at], f"n{k}x{at}"]}["s" if k < 10 else draw.choice("sdi")]
+        rows += [(2 * k + 1, " ".join(prose(200 + k, 40) + base + prose(300 + k, 40))), (2 * k + 2, " ".join(prose(400 + k, 40) + edited + prose(500 + k, 40)))]
+        wanted.add((2 * k + 2, 2 * k + 1))
+    got = {(r["id"], r["other"]) for r in passages.repeated_passages(documents(rows)).collect()}
+    assert got <= wanted and len(got) >= 19
+
+
+def test_a_chance_seed_beside_a_passage_does_not_spoil_it():
+    draw = np.random.default_rng(6)
+    x, y = (draw.integers(0, 1 << 60, 160).astype(np.uint64) for _ in range(2))
+    y[30:85], y[115:119] = x[30:85], x[115:119]
+    places = np.array([*range(30, 82, 3), 115])
+    assert passages.align(x, 0, y, 0, places, places) == [(30, 55, 30, 55, 0)]
+
+
 def test_runs_left_out_stand_in_no_other_document():
     draw = np.random.default_rng(4)
     for n in (50, 51, 70):
