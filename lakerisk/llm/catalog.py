@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakerisk.llm import decontamination, hmm, html, language, line_rules, mixing, ngram_join, passages, quality, toxicity
+from lakerisk.llm import collocations, decontamination, hmm, html, language, line_rules, mixing, ngram_join, passages, quality, toxicity
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_line_rules": line_rules.query,
     "op9_toxicity": toxicity.query,
     "op10_passages": passages.query,
+    "op11_collocations": collocations.query,
 }
 
 ORACLE = {
     "op5_ngram_join": ngram_join.SQL,
     "op8_line_rules": line_rules.SQL,
+    "op11_collocations": collocations.SQL,
 }
