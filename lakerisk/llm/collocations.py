@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakerisk.llm import text
+from lakerisk.operators.ordering import with_rank
 from lakerisk.session import drop_staged, stage_table
 
 TOP = 2000
@@ -40,7 +41,7 @@ DROP_PERCENT = 80
 START_RANKS, MORE_RANKS = 4, 8
 MOST_BITS = 27
 # A task hands its counts on when this many different phrases are held.
-HELD = 500_000
+HELD = 250_000
 LIMIT_STEP = 500
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -319,11 +320,8 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST_COUNT, star
             )
             drop_staged(threes, ranked)
             continue
-        place = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("f"), "phrase")
-        return (
-            ranked.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= top).join(totals, "lang")
-            .select("lang", F.col("rank").cast("long"), "phrase", F.col("f").alias("a"), "l", "r", "n", "score")
-        )
+        placed = with_rank(ranked, [F.desc("score"), F.desc("f"), F.col("phrase")], ["lang"])
+        return placed.filter(F.col("rank") <= top).join(totals, "lang").select("lang", "rank", "phrase", F.col("f").alias("a"), "l", "r", "n", "score")
 
 
 def _union(held: DataFrame | None, new: DataFrame) -> DataFrame:
