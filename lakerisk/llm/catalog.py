@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakerisk.llm import collocations, decontamination, hmm, html, language, line_rules, mixing, ngram_join, passages, quality, toxicity
+from lakerisk.llm import collocations, decontamination, hmm, html, language, line_rules, mixing, ngram_join, passages, quality, repair, toxicity
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_toxicity": toxicity.query,
     "op10_passages": passages.query,
     "op11_collocations": collocations.query,
+    "op12_repair": repair.query,
 }
 
 ORACLE = {
     "op5_ngram_join": ngram_join.SQL,
     "op8_line_rules": line_rules.SQL,
     "op11_collocations": collocations.SQL,
+    "op12_repair": repair.SQL,
 }
