@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakerisk.llm import collocations, decontamination, hmm, html, language, line_rules, mixing, ngram_join, passages, quality, repair, toxicity
+from lakerisk.llm import collocations, decontamination, hmm, html, language, line_rules, mixing, ngram_join, passages, quality, repair, superminhash, toxicity
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_passages": passages.query,
     "op11_collocations": collocations.query,
     "op12_repair": repair.query,
+    "op13_superminhash": superminhash.query,
 }
 
 ORACLE = {
@@ -24,4 +25,5 @@ ORACLE = {
     "op8_line_rules": line_rules.SQL,
     "op11_collocations": collocations.SQL,
     "op12_repair": repair.SQL,
+    "op13_superminhash": superminhash.SQL,
 }
