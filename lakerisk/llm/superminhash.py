@@ -254,16 +254,14 @@ def near_duplicates(docs: DataFrame, size: int = N_WORDS, percent: int = PERCENT
     drop_staged(candidates)
     small = wanted.filter("blocks = 1").withColumn("part", F.col("node"))
     large = wanted.filter("blocks > 1")
-    links = [stage_table(_blockwise(docs, small, size, percent), "links")]
-    if not large.isEmpty():
-        links += _large_groups(docs, large, stars, banded, size, percent)
-    drop_staged(stars, sized)
-    confirmed = links[0]
-    for more in links[1:]:
-        confirmed = confirmed.unionByName(more)
-    rooted = stage_table(components(confirmed), "rooted")
-    drop_staged(wanted, *links)
+    links = stage_table(_blockwise(docs, small, size, percent), "links")
+    near = None if large.isEmpty() else _near_stars(docs, large, stars, size, percent)
+    rooted = stage_table(components(links if near is None else links.unionByName(near)), "rooted")
+    drop_staged(stars, sized, links)
     grouped = classes.select("node", "id").join(rooted, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
+    if near is not None:
+        higher = _open_bands(docs, large, rooted, banded, size, percent).withColumnRenamed("component", "higher")
+        grouped = grouped.join(higher, grouped["component"] == higher["node"], "left").select(grouped["node"], "id", F.coalesce("higher", "component").alias("component"))
     smallest = grouped.groupBy("component").agg(F.min("id").alias("component_id"))
     found = grouped.select("node", "component").join(smallest, "component").select("node", "component_id")
     linked = marks.filter("n > 0").select("id", "n", "node").join(stage_table(found, "found"), "node").select("id", "n", "component_id")
@@ -272,21 +270,32 @@ def near_duplicates(docs: DataFrame, size: int = N_WORDS, percent: int = PERCENT
     return every.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
 
 
-def _large_groups(docs: DataFrame, large: DataFrame, stars: DataFrame, banded: DataFrame, size: int, percent: int) -> list[DataFrame]:
-    """Links of candidate groups above one block: stars first, then blocks of what they leave apart."""
+def _near_stars(docs: DataFrame, large: DataFrame, stars: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between the rows of large candidate groups and the first rows of their bands."""
     sets = stage_table(_with_sets(docs, large.select("key", "node"), size).dropDuplicates(["node"]), "sets")
     edges = stars.join(large.select(F.col("node").alias("a")), "a", "left_semi")
     near = stage_table(_confirmed(edges, sets, percent), "near")
     drop_staged(sets)
-    parts = components(near).select("node", F.col("component").alias("part"))
-    parted = stage_table(large.drop("component", "blocks").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")), "parted")
-    # A band whose rows are all connected is settled; only the others are looked at again.
-    open_bands = banded.join(parted.select("node", "part"), "node")
-    mixed = open_bands.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high").select("band")
-    again = stage_table(open_bands.join(mixed, "band").select("node", "band"), "open")
-    left = components(_stars(again, "open")).join(parted, "node")
-    blocked = stage_table(left.join(_sized(left), "component"), "wanted")
-    return [near, stage_table(_blockwise(docs, blocked, size, percent), "links")]
+    return near
+
+
+def _open_bands(docs: DataFrame, large: DataFrame, rooted: DataFrame, banded: DataFrame, size: int, percent: int) -> DataFrame:
+    """(node, component): which components of `rooted` further links of large groups connect.
+
+    A band whose rows are all connected is settled; only the rows of other bands are compared, in
+    blocks, and just across the components they are in.
+    """
+    parts = rooted.withColumnRenamed("component", "part")
+    parted = stage_table(large.drop("blocks").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")), "parted")
+    held = banded.join(parted.select("node", "part"), "node")
+    mixed = held.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high").select("band")
+    left = stage_table(parted.join(held.join(mixed, "band").select("node").distinct(), "node"), "open")
+    wanted = stage_table(left.join(_sized(left), "component"), "wanted")
+    more = stage_table(_blockwise(docs, wanted, size, percent), "links")
+    ends = parted.select(F.col("node").alias("_node"), "part")
+    for end in ("a", "b"):
+        more = more.join(ends, F.col(end) == F.col("_node")).drop(end, "_node").withColumnRenamed("part", end)
+    return components(more)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
