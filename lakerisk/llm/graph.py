@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakerisk.session import drop_staged, stage_table
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """(node, component) of every node of `edges` (a, b); the component is its smallest node.
 
     Each round every node joins the neighbour that a fresh random order puts first, and the
@@ -17,26 +19,27 @@ def components(edges: DataFrame) -> DataFrame:
     with very many edges is combined before the shuffle and split by AQE in the join.
     """
     left = stage_table(edges.select("a", "b").filter("a <> b").distinct(), "edges")
-    labels, turn = None, 0
+    labels, turn, tasks = None, 0, None
     while not left.isEmpty():
         turn += 1
+        tasks = max(1, math.ceil(left.count() / rows_per_task)) if rows_per_task else None
         rank = lambda c: F.xxhash64(F.col(c), F.lit(turn))  # noqa: B023, E731
         both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         best = both.groupBy("a").agg(F.min(F.struct(rank("b").alias("r"), F.col("b").alias("b"))).alias("m"))
         own = F.struct(rank("a").alias("r"), F.col("a").alias("b"))
-        moves = stage_table(best.select(F.col("a").alias("node"), F.least("m", own)["b"].alias("to")), "moves")
+        moves = stored(best.select(F.col("a").alias("node"), F.least("m", own)["b"].alias("to")), "moves")
         if labels is None:
             labels = moves
         else:
             step = moves.withColumnsRenamed({"node": "at", "to": "next"})
             older = labels
-            labels = stage_table(
+            labels = stored(
                 older.join(step, F.col("to") == F.col("at"), "left").select("node", F.coalesce("next", "to").alias("to")), "labels"
             )
             drop_staged(older)
         x, y = (moves.withColumnsRenamed({"node": n, "to": f"to_{n}"}) for n in ("a", "b"))
         wider = left
-        left = stage_table(
+        left = stored(
             wider.join(x, "a").join(y, "b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b")).filter("a <> b").distinct(), "edges"
         )
         drop_staged(wider)

@@ -43,6 +43,8 @@ MAX_HASHES = 128
 # Bounds of one verification block: rows, and shingles over all its sets.
 BLOCK_ROWS = 2048
 BLOCK_GRAMS = 1_000_000
+# Edges a task of the component search.
+GRAPH_ROWS = 50_000
 _RANK_BITS = np.uint64(56)
 _TOP = np.iinfo(np.uint64).max
 
@@ -247,7 +249,7 @@ def near_duplicates(docs: DataFrame, size: int = N_WORDS, percent: int = PERCENT
     )
     banded = classes.select("node", F.explode("bands").alias("band"))
     stars = _stars(banded, "buckets")
-    named = components(stars)
+    named = components(stars, GRAPH_ROWS)
     candidates = stage_table(named.join(classes.select("node", "key", "n"), "node"), "candidates")
     sized = stage_table(_sized(candidates), "sizes")
     wanted = stage_table(candidates.join(sized, "component"), "wanted")
@@ -256,7 +258,7 @@ def near_duplicates(docs: DataFrame, size: int = N_WORDS, percent: int = PERCENT
     large = wanted.filter("blocks > 1")
     links = stage_table(_blockwise(docs, small, size, percent), "links")
     near = None if large.isEmpty() else _near_stars(docs, large, stars, size, percent)
-    rooted = stage_table(components(links if near is None else links.unionByName(near)), "rooted")
+    rooted = stage_table(components(links if near is None else links.unionByName(near), GRAPH_ROWS), "rooted")
     drop_staged(stars, sized, links)
     grouped = classes.select("node", "id").join(rooted, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
     if near is not None:
@@ -295,7 +297,7 @@ def _open_bands(docs: DataFrame, large: DataFrame, rooted: DataFrame, banded: Da
     ends = parted.select(F.col("node").alias("_node"), "part")
     for end in ("a", "b"):
         more = more.join(ends, F.col(end) == F.col("_node")).drop(end, "_node").withColumnRenamed("part", end)
-    return components(more)
+    return components(more, GRAPH_ROWS)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
