@@ -73,6 +73,11 @@ class LakePaths:
     def table(self, layer: str, name: str) -> str:
         return f"{getattr(self, layer)}/{name}"
 
+    @property
+    def commits(self) -> str:
+        """Where the numbered commit files of this lake are."""
+        return f"{self.gold}/_commits"
+
     def quarantine(self, layer: str, name: str) -> str:
         # The silver quarantine is a first-level folder, so catalogues list it as a table.
         infix = "quarantine/" if layer == "bronze" else "quarantine_"

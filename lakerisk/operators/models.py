@@ -274,8 +274,18 @@ def score_population(dataset: DataFrame, fitted: FittedModel, run_id: str) -> Da
     return rank_population(scored)
 
 
+def _text_map(values: Mapping) -> Column:
+    """A map column of texts; an empty one keeps its type."""
+    pairs = [F.lit(str(x)) for k, v in sorted(values.items()) for x in (k, ", ".join(v) if isinstance(v, list) else v)]
+    return F.create_map(*pairs).cast("map<string,string>")
+
+
 def run_record(predictions: DataFrame, experiment: Mapping, per_round: DataFrame, setting: int, seconds: float) -> DataFrame:
-    """The nested run record of a trained experiment, in the file format."""
+    """The nested run record of a trained experiment, in the file format.
+
+    `experiment` holds the version, variant, model and weighting, the winning setting, the grid
+    it was chosen from, the seed and the number of assembled features.
+    """
     chosen = per_round.filter(F.col("setting") == setting).orderBy("round")
     folds = [r["pr_auc"] for r in chosen.collect()]
     means = grid_summary(per_round).filter(F.col("setting") == setting)
@@ -283,6 +293,7 @@ def run_record(predictions: DataFrame, experiment: Mapping, per_round: DataFrame
     pick = lambda c: means.select(F.round(c, 4).alias("v")).scalar()
     hit = F.col("label") == 1
     train, test = F.col("split") == "train", F.col("split") == "test"
+    tried = {k: sorted({str(s.get(k)) for s in experiment["grid"]}) for s in experiment["grid"] for k in s}
     return predictions.groupBy("run_id").agg(
         F.count_if(train).alias("n_train"), F.count_if(test).alias("n_test"),
         F.count_if(train & hit).alias("n_positivos_train"), F.count_if(test & hit).alias("n_positivos_test"),
@@ -294,6 +305,10 @@ def run_record(predictions: DataFrame, experiment: Mapping, per_round: DataFrame
         F.lit(experiment["model"]).alias("model_name"),
         F.lit(experiment["weighted"]).alias("usa_pesos"),
         "n_train", "n_test", "n_positivos_train", "n_positivos_test",
+        _text_map(experiment["setting"]).alias("hiperparametros_ganadores"),
+        _text_map(tried).alias("grilla_probada"),
+        F.lit(experiment["seed"]).cast("long").alias("semilla"),
+        F.lit(experiment["features"]).cast("long").alias("n_features_transformadas"),
         F.round(F.lit(float(seconds)), 2).alias("segundos_entrenamiento"),
         F.struct(
             pick("pr_auc").alias("cv_pr_auc_mean"), pick("pr_auc_std").alias("cv_pr_auc_std"),
@@ -323,7 +338,10 @@ def run_experiment(dataset: DataFrame, code: str, version: str, tag: str = "", g
     weights = "w1" if weighted else "w0"
     run_id = "-".join([RUN_PREFIX, code, model.lower(), variant.lower(), weights, *([tag] if tag else [])])
     predictions = stage_table(score_population(dataset, fitted, run_id), "predictions")
-    about = {"dataset_version": version, "variant": variant, "model": model, "weighted": weighted}
+    about = {
+        "dataset_version": version, "variant": variant, "model": model, "weighted": weighted,
+        "setting": grid[best], "grid": grid, "seed": learner.seed, "features": len(feature_names(fitted)),
+    }
     return fitted, predictions, run_record(predictions, about, per_round, best, time.monotonic() - started)
 
 

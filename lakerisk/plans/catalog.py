@@ -15,7 +15,7 @@ from lakerisk.operators import (
     baselines, curation, curves, dedup, eda, encoding, evaluation, features, models, preparation, quality,
     quantiles, quarantine, ranking, regional, runs,
 )
-from lakerisk.plans import views
+from lakerisk.plans import lake_queries, views
 from lakerisk.plans.bindings import bind, load, run_records
 from lakerisk.plans.oracle import AFFILIATION_CUTOFF, CUTOFFS, LABEL_CUTOFF, MONTH, ORDER_CUTOFF
 from lakerisk.session import scratch_path, stage_table
@@ -562,7 +562,7 @@ def queries() -> dict[str, Query]:
         "model_coefficients": model_coefficients,
         "model_permutation": model_permutation,
     }
-    return q
+    return q | lake_queries.QUERIES
 
 
 def flagship(spark: SparkSession, folder: str, k: int = 100) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The pipeline from raw files to the curated table. Every job stages, verifies, publishes."""
+"""The pipeline from raw files to the curated table. Every job stages, verifies, and commits its outputs together."""
 
 from __future__ import annotations
 
@@ -8,11 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerisk.config import MAX_REJECT_RATE, LakePaths, cutoff_of, parse_cutoffs, staging_path
+from lakerisk.config import MAX_REJECT_RATE, LakePaths, cutoff_of, parse_cutoffs
 from lakerisk.operators import curation, dedup, evaluation, features, models, quality, quarantine, regional
 from lakerisk.operators.encoding import standard_encodings
 from lakerisk.session import drop_staged, stage_table
-from lakerisk.sources import readers, schemas, small, writers
+from lakerisk.sources import commits, readers, schemas, small, writers
+from lakerisk.sources.commits import Publication
 
 MONTHLY = ["year", "month"]
 
@@ -32,67 +33,65 @@ REGISTRY = Feed("registry", schemas.REGISTRY_COLUMNS, [], dedup.registry_snapsho
 ORDERS = Feed("orders", schemas.ORDER_COLUMNS, schemas.ORDER_DATES, dedup.keep_latest_order, quarantine.split_orders)
 
 
+def _aside(layer: str, name: str) -> str:
+    """Name of a table's quarantine; that of silver is a first-level folder, so catalogues list it."""
+    return f"quarantine/{name}" if layer == "bronze" else f"quarantine_{name}"
+
+
 def ingest(spark: SparkSession, paths: LakePaths, feed: Feed) -> dict[str, int]:
-    """Raw CSV to bronze: typed rows by month, rejects apart; returns the rows of both tables.
+    """Raw CSV to bronze: typed rows by month, rejects apart; returns the live rows of both tables.
 
-    Only the months in the raw folder are replaced, in the bronze table and among its rejects;
-    other months stay. The parsed rows are staged once, so the text is not parsed again for
-    each side.
+    Every month the raw folder holds is replaced on both sides, also one whose rows were all
+    rejected; other months stay. The parsed rows are staged once, so the text is not parsed again
+    for each side. Both tables go live together.
     """
     _, schema = schemas.CONTRACTS[feed.name]
     raw_names = {neutral: raw for raw, _, neutral in feed.columns}
     parsed = stage_table(readers.read_raw_csv(spark, paths.table("raw", feed.name), schema), f"parsed-{feed.name}")
-    clean, rejected = quarantine.split_by_schema(parsed)
-    if feed.dates:
-        clean, out_of_range = quarantine.split_by_year(clean, [raw_names[c] for c in feed.dates])
-        rejected = quarantine.merge_rejects(rejected, out_of_range)
-    bronze, aside = paths.table("bronze", feed.name), paths.quarantine("bronze", feed.name)
-    earlier = readers.read_optional(spark, aside)
-    if earlier is not None:
-        touched = stage_table(parsed.select(*schemas.PARTITION_COLUMNS).distinct(), "touched")
-        same = [earlier[c].eqNullSafe(touched[c]) for c in schemas.PARTITION_COLUMNS]
-        rejected = rejected.unionByName(earlier.join(touched, same, "left_anti"), allowMissingColumns=True)
-    # Stored before the overwrite, because the rejects kept are read from the table it replaces.
-    rejected = stage_table(rejected, "rejects")
-    writers.write_partitioned(clean, bronze, schemas.PARTITION_COLUMNS, only_touched=True)
-    writers.write_whole(rejected, aside)
-    return {"clean": readers.written_rows(spark, bronze), "rejected": readers.written_rows(spark, aside)}
+    try:
+        clean, rejected = quarantine.split_by_schema(parsed)
+        if feed.dates:
+            clean, out_of_range = quarantine.split_by_year(clean, [raw_names[c] for c in feed.dates])
+            rejected = quarantine.merge_rejects(rejected, out_of_range)
+        by = schemas.PARTITION_COLUMNS
+        loaded = [tuple(r) for r in parsed.select(*by).distinct().collect()]  # the months of this load
+        with Publication(spark, paths, f"ingest-{feed.name}") as out:
+            out.stage("bronze", feed.name, clean, by, replaces=loaded)
+            out.stage("bronze", _aside("bronze", feed.name), rejected, by, replaces=loaded)
+    finally:
+        drop_staged(parsed)
+    names = {"clean": feed.name, "rejected": _aside("bronze", feed.name)}
+    return {side: commits.live_rows(spark, paths, "bronze", name) for side, name in names.items()}
 
 
 def clean(spark: SparkSession, paths: LakePaths, feed: Feed, maximum: float = MAX_REJECT_RATE) -> DataFrame:
-    """Bronze to silver. Nothing is published unless contract, reject rate and row counts hold."""
-    bronze = spark.read.parquet(paths.table("bronze", feed.name))
+    """Bronze to silver. Nothing goes live unless contract, reject rate and row counts hold; then
+    silver, its quarantine and the report do together."""
+    bronze = commits.require_table(spark, paths, "bronze", feed.name)
     schemas.check_contract(bronze.schema, feed.name)
     named = schemas.neutral_names(bronze, feed.columns)
-    aside = readers.read_optional(spark, paths.quarantine("bronze", feed.name))
+    aside = commits.read_table(spark, paths, "bronze", _aside("bronze", feed.name))
     bronze_rejected = None if aside is None else schemas.neutral_names(aside, feed.columns)
     entered = stage_table(feed.prepare(named), f"entered-{feed.name}")
-    silver, rejected = feed.split(entered)
-    report = stage_table(
-        quality.quality_report(feed.name, named, entered, silver, rejected, bronze_rejected), "quality"
-    )
-    quality.gate_reject_rate(report, maximum)
-
-    live, live_rejects = paths.table("silver", feed.name), paths.quarantine("silver", feed.name)
-    for path in (live, live_rejects):  # what a failed run left there must not be published
-        writers.discard(spark, staging_path(path))
-    writers.write_partitioned(silver, staging_path(live), MONTHLY)
-    quality.gate_written(report, spark.read.parquet(staging_path(live)))
-    writers.write_if_any(rejected, staging_path(live_rejects), MONTHLY)
-    totals = report.agg(F.sum("n_silver").alias("rows")).first()
-    writers.publish(spark, live, expected_rows=totals["rows"] or 0)
-    writers.publish(spark, live_rejects, optional=True)
-    writers.write_partitioned(report, paths.table("silver", "quality_report"), ["source"], only_touched=True)
-    drop_staged(entered)
+    try:
+        silver, rejected = feed.split(entered)
+        report = stage_table(quality.quality_report(feed.name, named, entered, silver, rejected, bronze_rejected), "quality")
+        quality.gate_reject_rate(report, maximum)
+        with Publication(spark, paths, f"clean-{feed.name}") as out:
+            out.stage("silver", feed.name, silver, MONTHLY)
+            quality.gate_parts(report, out.part_rows("silver", feed.name))
+            out.stage("silver", _aside("silver", feed.name), rejected, MONTHLY)
+            out.stage("silver", "quality_report", report, ["source"], replaces=[(feed.name,)])
+    finally:
+        drop_staged(entered)
     return report
 
 
 def prepare_side_source(spark: SparkSession, paths: LakePaths, name: str, raw: DataFrame, tidy: Callable[[DataFrame], DataFrame]) -> int:
-    """A small source through bronze (as read) to silver (tidied); silver is read from bronze."""
-    bronze, live = paths.table("bronze", name), paths.table("silver", name)
-    writers.write_whole(raw, bronze)
-    writers.write_whole(tidy(spark.read.parquet(bronze)), staging_path(live))
-    return writers.publish(spark, live)
+    """A small source through bronze (as read) to silver (tidied); silver is read from the staged bronze."""
+    with Publication(spark, paths, f"side-{name}") as out:
+        out.stage("silver", name, tidy(out.stage("bronze", name, raw)))
+    return commits.live_rows(spark, paths, "silver", name)
 
 
 SIDE_SOURCES = {
@@ -106,7 +105,7 @@ SIDE_SOURCES = {
 
 def build_regional(spark: SparkSession, paths: LakePaths, year: int | None = None, month: int | None = None) -> int:
     """Regional summary of one snapshot month (the newest unless given)."""
-    silver = lambda name: spark.read.parquet(paths.table("silver", name))
+    silver = lambda name: commits.require_table(spark, paths, "silver", name)
     snapshot, year, _ = regional.reference_snapshot(silver("registry"), year, month)
     summary = regional.regional_summary(
         regional.active_by_region(snapshot),
@@ -114,65 +113,71 @@ def build_regional(spark: SparkSession, paths: LakePaths, year: int | None = Non
         regional.revenue_by_region(silver("revenue"), year),
         regional.exclusions_by_region(silver("exclusions"), snapshot),
     )
-    live = paths.table("gold", "regional_summary")
-    writers.write_single_file(summary, staging_path(live))
-    return writers.publish(spark, live)
+    with Publication(spark, paths, "regional") as out:
+        out.stage("gold", "regional_summary", summary, single_file=True)
+    return commits.live_rows(spark, paths, "gold", "regional_summary")
 
 
 def build_features(spark: SparkSession, paths: LakePaths, cutoffs: str | None = None) -> int:
     """Feature rows of every cut-off; the regional summary must exist."""
     chosen = parse_cutoffs(cutoffs)
-    silver = lambda name: spark.read.parquet(paths.table("silver", name))
-    rates = features.regional_rate(spark.read.parquet(paths.table("gold", "regional_summary")))
+    silver = lambda name: commits.require_table(spark, paths, "silver", name)
+    rates = features.regional_rate(commits.require_table(spark, paths, "gold", "regional_summary"))
     registry = silver("registry")
     table = features.feature_table(
         registry, registry, silver("orders"), silver("exclusions"), silver("affiliations"), chosen, rates
     )
-    live = paths.table("gold", "features")
-    writers.write_partitioned(table, staging_path(live), ["ref_month"])
-    quality.gate_features(spark.read.parquet(staging_path(live)), [month for month, _ in chosen])
-    return writers.publish(spark, live)
+    with Publication(spark, paths, "features") as out:
+        quality.gate_features(out.stage("gold", "features", table, ["ref_month"]), [month for month, _ in chosen])
+    return commits.live_rows(spark, paths, "gold", "features")
 
 
 def build_scoring(spark: SparkSession, paths: LakePaths) -> tuple[int, DataFrame]:
     """Features with the register's flag, and the coverage of the register."""
-    table = spark.read.parquet(paths.table("gold", "features"))
-    register = spark.read.parquet(paths.table("silver", "register"))
-    live = paths.table("gold", "scoring_dataset")
-    writers.write_partitioned(curation.scoring_dataset(table, register), staging_path(live), ["ref_month"])
-    return writers.publish(spark, live), curation.label_coverage(table, register)
+    table = commits.require_table(spark, paths, "gold", "features")
+    register = commits.require_table(spark, paths, "silver", "register")
+    with Publication(spark, paths, "scoring") as out:
+        out.stage("gold", "scoring_dataset", curation.scoring_dataset(table, register), ["ref_month"])
+    return commits.live_rows(spark, paths, "gold", "scoring_dataset"), curation.label_coverage(table, register)
 
 
 def build_curated(spark: SparkSession, paths: LakePaths, version: str, cutoff: tuple[str, str] | None = None) -> DataFrame:
     """Curated table of a dataset version, checked before its partition is replaced."""
     month, date = cutoff or cutoff_of(version)
-    # Partition discovery reads the month as a number, so it is compared as one.
-    table = spark.read.parquet(paths.table("gold", "features")).filter(F.col("ref_month") == int(month))
+    table = commits.require_table(spark, paths, "gold", "features").filter(F.col("ref_month").cast("string") == month)
     dataset = curation.curate(
         curation.eligible_population(table),
-        spark.read.parquet(paths.table("silver", "register")),
-        spark.read.parquet(paths.table("silver", "exclusions")),
+        commits.require_table(spark, paths, "silver", "register"),
+        commits.require_table(spark, paths, "silver", "exclusions"),
         date,
     )
-    checked = stage_table(dataset.withColumn("dataset_version", F.lit(version)), "curated")
-    quality.gate_dataset(checked)
-    quality.gate_features_filled(checked, [name for name, _, _ in standard_encodings()])
-    writers.write_partitioned(checked, paths.table("gold", "model_inputs"), ["dataset_version"], only_touched=True)
+    with Publication(spark, paths, f"curated-{version}") as out:
+        checked = out.stage("gold", "model_inputs", dataset.withColumn("dataset_version", F.lit(version)), ["dataset_version"], replaces=[(version,)])
+        quality.gate_dataset(checked)
+        quality.gate_features_filled(checked, [name for name, _, _ in standard_encodings()])
     return quality.curation_report(checked, version)
 
 
-def train(spark: SparkSession, paths: LakePaths, version: str, code: str, tag: str = "", grid=None, replicates: int = 1000) -> str:
-    """Run one experiment on the curated table; publish predictions, record and metrics.
+def train(
+    spark: SparkSession, paths: LakePaths, version: str, code: str, tag: str = "", grid=None, replicates: int = 1000, ks=evaluation.ABSOLUTE_KS
+) -> str:
+    """Run one experiment on the curated table; predictions, record and metrics go live together.
 
-    Only the partition of the run is replaced. Returns the run id.
+    Only the rows of the run are replaced. A cut-off above the test rows is an error, as are train rows
+    among what is scored. The record and the metrics are also exported as NDJSON. Returns the run id.
     """
-    inputs = spark.read.parquet(paths.table("gold", "model_inputs"))
+    inputs = commits.require_table(spark, paths, "gold", "model_inputs")
     dataset = inputs.filter(F.col("dataset_version") == version).drop("dataset_version")
     _, predictions, record = models.run_experiment(dataset, code, version, tag, grid)
     run_id = predictions.select("run_id").first()[0]
-    writers.write_partitioned(predictions, paths.table("gold", "model_outputs"), ["run_id"], only_touched=True)
+    run, own = ["run_id"], [(run_id,)]
+    with Publication(spark, paths, f"train-{run_id}") as out:
+        written = out.stage("gold", "model_outputs", predictions, run, replaces=own)
+        test = evaluation.check_predictions(written.filter(F.lower("split") == "test"), ks=ks)
+        flat = stage_table(evaluation.flat_metrics(test, ks=ks, replicates=replicates), "metrics")
+        out.stage("gold", "runs", record, run, replaces=own)
+        out.stage("gold", "metrics", flat, run, replaces=own)
     record.coalesce(1).write.mode("overwrite").json(f"{paths.table('gold', 'model_runs')}/run={run_id}")
-    test = evaluation.check_predictions(predictions, ks=(), diagnostic=True)
-    flat = evaluation.flat_metrics(test, replicates=replicates)
     writers.write_metric_rows(flat, f"{paths.table('gold', 'model_metrics')}/run={run_id}")
+    drop_staged(flat)
     return run_id

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lakerisk.plans import lake_queries
 from lakerisk.plans.bindings import binding_sql
 
 MONTH, ORDER_CUTOFF, AFFILIATION_CUTOFF, LABEL_CUTOFF = "200106", "2001-06-30", "2001-03-20", "2000-12-31"
@@ -465,4 +466,4 @@ def oracle_sql() -> dict[str, str]:
             WHERE rn <= 3 * (SELECT sum(label) FROM cur))""",
         "forward_cv_rounds": f"""{_curated()} SELECT k AS round, count(*) FILTER (WHERE fold >= 0 AND fold < k) AS train_rows, count(*) FILTER (WHERE fold = k) AS valid_rows, count(*) FILTER (WHERE fold >= 0 AND fold < k AND label = 1) AS train_positives
             FROM cur CROSS JOIN (VALUES (1), (2), (3), (4)) t(k) GROUP BY 1""",
-    }
+    } | lake_queries.ORACLE

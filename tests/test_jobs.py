@@ -7,7 +7,9 @@ from lakerisk.config import LakePaths
 from lakerisk.operators.quality import QualityError
 from lakerisk.plans import jobs
 from lakerisk.sources import schemas
-from lakerisk.sources.readers import read_optional, read_run_records
+from lakerisk.sources.commits import Publication, latest, parts_table, read_table, vacuum
+from lakerisk.sources.readers import read_run_records
+from lakerisk.sources.writers import PublishError
 
 BASE = 20000000000
 
@@ -62,11 +64,11 @@ def test_pipeline(spark, lake):
     report = {r["month"]: r for r in jobs.clean(spark, lake, jobs.REGISTRY).collect()}
     assert (report[5]["n_bronze"], report[5]["n_bronze_rejected"], report[5]["n_silver"], report[5]["n_rejected"]) == (61, 1, 60, 1)
     jobs.clean(spark, lake, jobs.ORDERS)
-    orders = spark.read.parquet(lake.table("silver", "orders"))
+    orders = read_table(spark, lake, "silver", "orders")
     # The repeats of the earlier load are gone: each order is kept from month 6.
     assert orders.count() == 50 and orders.filter("order_no LIKE 'OC%'").select("month").distinct().collect()[0][0] == 6
-    assert read_optional(spark, lake.quarantine("silver", "orders")).count() == 2
-    assert spark.read.parquet(lake.table("silver", "quality_report")).select("source").distinct().count() == 2
+    assert read_table(spark, lake, "silver", "quarantine_orders").count() == 2
+    assert read_table(spark, lake, "silver", "quality_report").select("source").distinct().count() == 2
 
     side = {
         "exclusions": spark.createDataFrame([(str(BASE + 60), "X")] * 20, "entity_id string, name string"),
@@ -81,13 +83,13 @@ def test_pipeline(spark, lake):
     for name, raw in side.items():
         assert jobs.prepare_side_source(spark, lake, name, raw, jobs.SIDE_SOURCES[name]) > 0
     assert jobs.build_regional(spark, lake) >= 2
-    regional = {r["region"]: r for r in spark.read.parquet(lake.table("gold", "regional_summary")).collect()}
+    regional = {r["region"]: r for r in read_table(spark, lake, "gold", "regional_summary").collect()}
     assert (regional["LIMA"]["active_entities"], regional["LIMA"]["informal_pct"], regional["LIMA"]["revenue"]) == (30, 75.0, 10.5)
 
     assert jobs.build_features(spark, lake, "202505:2025-05-31,202506:2025-06-30") == 120
-    feats = spark.read.parquet(lake.table("gold", "features"))
+    feats = read_table(spark, lake, "gold", "features")
     changed = feats.groupBy("ref_month").agg(F.sum("billing_changed").alias("n")).collect()
-    assert {r["ref_month"]: r["n"] for r in changed} == {202505: 0, 202506: 60}
+    assert {r["ref_month"]: r["n"] for r in changed} == {"202505": 0, "202506": 60}
     assert feats.filter("ref_month = 202506 AND region = 'LIMA'").first()["regional_informal_pct"] == 75.0
 
     rows, coverage = jobs.build_scoring(spark, lake)
@@ -95,15 +97,19 @@ def test_pipeline(spark, lake):
 
     report = jobs.build_curated(spark, lake, "v1", ("202506", "2025-06-30")).first()
     assert (report["rows"], report["positives"]) == (59, 15)
-    inputs = spark.read.parquet(lake.table("gold", "model_inputs"))
+    inputs = read_table(spark, lake, "gold", "model_inputs")
     assert inputs.select("id").distinct().count() == 59
     assert inputs.filter("label = 1").groupBy("split").count().count() == 2
 
-    run_id = jobs.train(spark, lake, "v1", "E6", "t", [{"depth": 2, "leaf": 2}], replicates=50)
+    run_id = jobs.train(spark, lake, "v1", "E6", "t", [{"depth": 2, "leaf": 2}], replicates=50, ks=(5,))
     assert run_id == "risk-run-E6-dt-v2-w0-t"
-    assert spark.read.parquet(lake.table("gold", "model_outputs")).count() == 59
+    assert read_table(spark, lake, "gold", "model_outputs").count() == 59
     valid, rejected = read_run_records(spark, lake.table("gold", "model_runs"))
-    assert valid.first()["model_name"] == "DT" and rejected.count() == 0
+    record = valid.first()
+    assert record["model_name"] == "DT" and rejected.count() == 0
+    assert record["hiperparametros_ganadores"] == {"depth": "2", "leaf": "2"} == record["grilla_probada"]
+    assert record["semilla"] == 42 and record["n_features_transformadas"] > 20
+    assert read_table(spark, lake, "gold", "runs").select("run_id").first()[0] == run_id
     metrics = spark.read.json(lake.table("gold", "model_metrics")).first()
     assert metrics["run_id"] == run_id and metrics["pr_auc_low"] <= metrics["pr_auc_high"]
 
@@ -115,12 +121,13 @@ def test_bad_month_publishes_nothing(spark, lake, tmp_path):
     jobs.ingest(spark, paths, jobs.REGISTRY)
     with pytest.raises(QualityError):
         jobs.clean(spark, paths, jobs.REGISTRY)
-    assert read_optional(spark, paths.table("silver", "registry")) is None
+    assert read_table(spark, paths, "silver", "registry") is None
 
 
 def test_contract_breach_stops_before_writing(spark, tmp_path):
     paths = LakePaths.under(str(tmp_path))
-    spark.createDataFrame([(1, 2025, 1)], "RUC bigint, anio int, mes int").write.partitionBy("anio", "mes").parquet(paths.table("bronze", "registry"))
+    with Publication(spark, paths, "test") as out:
+        out.stage("bronze", "registry", spark.createDataFrame([(1, 2025, 1)], "RUC bigint, anio int, mes int"), ["anio", "mes"])
     with pytest.raises(schemas.ContractError, match="missing column Estado"):
         jobs.clean(spark, paths, jobs.REGISTRY)
 
@@ -133,21 +140,90 @@ def test_ingest_keeps_the_months_it_does_not_touch(spark, tmp_path):
         write_csv(paths, "registry", month, schemas.REGISTRY_COLUMNS, registry_rows(month))
         jobs.ingest(spark, paths, jobs.REGISTRY)
         shutil.rmtree(paths.table("raw", "registry"))
-    bronze = spark.read.parquet(paths.table("bronze", "registry"))
+    bronze = read_table(spark, paths, "bronze", "registry")
     assert {r["mes"]: r["count"] for r in bronze.groupBy("mes").count().collect()} == {5: 61, 6: 61}
-    assert read_optional(spark, paths.quarantine("bronze", "registry")).count() == 2
+    assert read_table(spark, paths, "bronze", "quarantine/registry").count() == 2
     write_csv(paths, "registry", 5, schemas.REGISTRY_COLUMNS, list(registry_rows(5))[:10])
     assert jobs.ingest(spark, paths, jobs.REGISTRY) == {"clean": 71, "rejected": 1}
+    # A month reloaded with nothing but rejects loses its old clean rows.
+    shutil.rmtree(paths.table("raw", "registry"))
+    write_csv(paths, "registry", 6, schemas.REGISTRY_COLUMNS, [{"RUC": "broken"}] * 3)
+    assert jobs.ingest(spark, paths, jobs.REGISTRY) == {"clean": 10, "rejected": 3}
+    assert [r["part"] for r in parts_table(spark, paths, "bronze", "registry").collect()] == ["anio=2025/mes=5"]
 
 
-def test_what_a_failed_run_staged_is_not_published(spark, tmp_path):
-    from lakerisk.config import staging_path
+@pytest.fixture()
+def small_lake(spark, tmp_path):
+    paths = LakePaths.under(str(tmp_path / "lake"))
+    rows = spark.createDataFrame([(i, i % 3, None if i % 4 else "x y/z") for i in range(24)], "id long, month int, kind string")
+    with Publication(spark, paths, "first") as out:
+        out.stage("silver", "orders", rows, ["month", "kind"])
+        out.stage("gold", "total", rows.groupBy().count(), single_file=True)
+    return paths, rows
+
+
+def state(spark, paths):
+    return {key: sorted(map(tuple, read_table(spark, paths, *key.split("/", 1)).collect()), key=str) for key in latest(spark, paths)["tables"]}
+
+
+def test_a_job_killed_between_two_outputs_changes_nothing(spark, small_lake):
+    paths, rows = small_lake
+    before, number = state(spark, paths), latest(spark, paths)["number"]
+    with pytest.raises(RuntimeError, match="killed"):
+        with Publication(spark, paths, "second") as out:
+            out.stage("silver", "orders", rows.filter("id < 3"), ["month", "kind"])
+            raise RuntimeError("killed")
+    assert state(spark, paths) == before and latest(spark, paths)["number"] == number
+    assert vacuum(spark, paths, older_than_seconds=0) > 0 and state(spark, paths) == before
+
+
+def test_only_replaced_parts_change(spark, small_lake, plan_of):
+    paths, rows = small_lake
+    with Publication(spark, paths, "second") as out:
+        out.stage("silver", "orders", rows.filter("month = 1 AND kind IS NULL").limit(2), ["month", "kind"], replaces=[(1, None), (2, "x y/z")])
+        assert out.observed("silver", "orders") == {"rows": 2}
+    table = read_table(spark, paths, "silver", "orders")
+    counts = {(r["month"], r["kind"]): r["count"] for r in table.groupBy("month", "kind").count().collect()}
+    assert counts == {(0, None): 6, (0, "x y/z"): 2, (1, None): 2, (1, "x y/z"): 2, (2, None): 6}
+    assert plan_of(table.filter("month = 1").select("id")).count("PartitionFilters: [isnotnull(month") == 1
+    first = read_table(spark, paths, "silver", "orders", commit={"tables": latest(spark, paths)["tables"]})
+    assert first.count() == 18
+
+
+def test_a_table_changed_meanwhile_is_not_overwritten(spark, small_lake):
+    paths, rows = small_lake
+    slow, other = Publication(spark, paths, "slow"), Publication(spark, paths, "other")
+    slow.stage("silver", "orders", rows.filter("id = 1"), ["month", "kind"])
+    other.stage("gold", "total", rows.limit(1), single_file=True)
+    assert other.commit() == 2 and slow.commit() == 3
+    assert read_table(spark, paths, "silver", "orders").count() == 1 and read_table(spark, paths, "gold", "total").count() == 1
+    late, early = Publication(spark, paths, "late"), Publication(spark, paths, "early")
+    for job in (late, early):
+        job.stage("gold", "total", rows.limit(2), single_file=True)
+    early.commit()
+    with pytest.raises(PublishError, match="changed by commit 4"):
+        late.commit()
+
+
+def test_empty_and_map_columns_are_published(spark, tmp_path):
+    paths = LakePaths.under(str(tmp_path / "lake"))
+    odd = spark.createDataFrame([({"a": "1"}, [1], None)], "m map<string,string>, l array<int>, s struct<x: int>")
+    with Publication(spark, paths, "odd") as out:
+        out.stage("gold", "odd", odd)
+        assert out.stage("gold", "none", odd.filter("false")).count() == 0
+    assert read_table(spark, paths, "gold", "odd").first()["m"] == {"a": "1"}
+    assert read_table(spark, paths, "gold", "none").columns == ["m", "l", "s"] and read_table(spark, paths, "gold", "other") is None
+
 
+def test_rows_lost_on_the_way_are_noticed(spark, tmp_path, monkeypatch):
     paths = LakePaths.under(str(tmp_path / "lake"))
-    write_csv(paths, "registry", 5, schemas.REGISTRY_COLUMNS, list(registry_rows(5))[:60])
-    jobs.ingest(spark, paths, jobs.REGISTRY)
-    stale = staging_path(paths.quarantine("silver", "registry"))
-    spark.range(3).write.parquet(stale)
-    jobs.clean(spark, paths, jobs.REGISTRY)
-    assert read_optional(spark, paths.quarantine("silver", "registry")) is None
-    assert spark.read.parquet(paths.table("silver", "registry")).count() == 60
+    monkeypatch.setattr(Publication, "_written", lambda self, *a: {})
+    with pytest.raises(PublishError, match="3 rows were written, 0 are read back"):
+        Publication(spark, paths, "x").stage("gold", "t", spark.range(3))
+
+
+def test_training_refuses_a_cutoff_above_the_test_rows(spark, lake):
+    before = latest(spark, lake)["number"]
+    with pytest.raises(ValueError, match="exceed"):
+        jobs.train(spark, lake, "v1", "E6", "big", [{"depth": 2, "leaf": 2}], replicates=5)
+    assert latest(spark, lake)["number"] == before

@@ -95,8 +95,11 @@ def test_cross_validation_and_record(spark, rows):
     assert per_round.agg(F.sum("n")).first()[0] == 2 * rows.filter("split = 'train'").count()
     fitted = learner.fit_all(rows.filter("split = 'train'"), grid[:1])[0]
     record = models.run_record(
-        models.score_population(rows, fitted, "risk-run-E2"), {"dataset_version": "v2", "variant": "V2", "model": "DT", "weighted": True}, per_round, 0, 1.234
+        models.score_population(rows, fitted, "risk-run-E2"),
+        {"dataset_version": "v2", "variant": "V2", "model": "DT", "weighted": True, "setting": grid[0], "grid": grid, "seed": 42, "features": 7}, per_round, 0, 1.234,
     ).first()
+    assert record["grilla_probada"] == {"depth": "1, 3", "leaf": "5"} and record["hiperparametros_ganadores"] == {"depth": "1", "leaf": "5"}
+    assert (record["semilla"], record["n_features_transformadas"]) == (42, 7)
     assert record["n_train"] == 350 and len(record["metricas_cv"]["cv_pr_auc_folds"]) == 5
     assert record["segundos_entrenamiento"] == 1.23
 
