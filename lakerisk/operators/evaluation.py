@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from lakerisk.functions.regions import in_capital
 from lakerisk.functions.text import strip_space
 from lakerisk.operators.ordering import with_running_totals
+from lakerisk.session import stage_table
 
 # Cut-offs, segment names and the size below which a segment is frail.
 ABSOLUTE_KS = (100, 500)
@@ -193,76 +195,120 @@ def segment_metrics(preds: DataFrame, groups: Sequence[str] = RUN) -> DataFrame:
     )
 
 
-def _poisson_draw():
-    """Vectorised Poisson quantile of a uniform draw, exact at every mean.
+def _packed(steps: DataFrame, groups: Sequence[str], replicates: int, most: int) -> DataFrame:
+    """The ordered steps in runs of at most `most` of one group, with every replicate's totals over the run.
 
-    A large mean is the sum of parts of at most 50, each drawn from its own uniform number, which
-    a hash of the given one provides. Defined inside a function so that it travels to the
-    workers by value.
+    Columns: groups, place (runs of a group in order), seeds, p, q (arrays over the steps), p_sum, n_sum (arrays
+    over the replicates). The sort is the only exchange of the steps.
     """
+    ordered = steps.orderBy(*groups, "step")
+    columns = [*groups, "seed", "p", "q"]
+    fields = [steps.schema[g] for g in groups]
+    schema = T.StructType(
+        [*fields, T.StructField("place", T.LongType())]
+        + [T.StructField(c, T.ArrayType(T.LongType())) for c in ("seeds", "p", "q", "p_sum", "n_sum")]
+    )
+    weights = _weights(replicates)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, held, key = TaskContext.get().partitionId() << 33, [], None
+
+        def out() -> pd.DataFrame:
+            rows = pd.concat(held)
+            totals = np.zeros((2, replicates), dtype=np.int64)
+            for p, q in weights(*(rows[c].to_numpy() for c in ("seed", "p", "q"))):
+                totals += [p.sum(axis=0), (p + q).sum(axis=0)]
+            one = dict(zip(groups, key)) | {"place": place} | {n: rows[c].tolist() for n, c in (("seeds", "seed"), ("p", "p"), ("q", "q"))}
+            return pd.DataFrame([one | {"p_sum": totals[0].tolist(), "n_sum": totals[1].tolist()}])[schema.names]
+
+        for batch in batches:
+            for at, rows in batch.groupby(list(groups), sort=False, dropna=False):
+                for start in range(0, len(rows), most):
+                    part = rows.iloc[start : start + most]
+                    if held and (at != key or sum(map(len, held)) + len(part) > most):
+                        yield out()
+                        place, held[:] = place + 1, []
+                    key = at
+                    held.append(part)
+        if held:
+            yield out()
+
+    return stage_table(ordered.select(*columns).mapInPandas(run, schema), "packed")
+
+
+def _weights(replicates: int):
+    """Function of (seeds, p, q) that yields Poisson weights of positives and negatives in blocks of steps x replicates.
+
+    A step's weights come from a generator of its own seed, so a re-run task and both passes repeat them.
+    """
+
+    def draw(seeds: np.ndarray, p: np.ndarray, q: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        size = max(1, 500_000 // replicates)
+        for start in range(0, len(seeds), size):
+            block = slice(start, start + size)
+            both = np.zeros((2, len(seeds[block]), replicates), dtype=np.int64)
+            for i, (seed, hits, others) in enumerate(zip(seeds[block].view(np.uint64), p[block], q[block])):
+                source = np.random.Generator(np.random.PCG64(int(seed)))
+                both[0, i] = source.poisson(hits, replicates)
+                both[1, i] = source.poisson(others, replicates)
+            yield both[0], both[1]
+
+    return draw
+
+
+def _offsets(groups: Sequence[str]):
+    """Totals of every replicate before each run of a group."""
 
-    def below_50(u: np.ndarray, lam: np.ndarray) -> np.ndarray:
-        count, k = np.zeros(len(u), dtype="int64"), 0
-        term = np.exp(-lam)
-        upto = term.copy()
-        while (more := (u > upto) & (term > 0)).any():
-            k += 1
-            count[more] = k
-            term = term * lam / k
-            upto = upto + term
-        return count
-
-    def quantile(uniform: pd.Series, mean: pd.Series) -> pd.Series:
-        u, lam = uniform.to_numpy(dtype="float64"), mean.to_numpy(dtype="float64")
-        total, left, bits = np.zeros(len(u), dtype="int64"), lam.copy(), u.copy().view("uint64")
-        at = np.arange(len(u))
-        while len(at):
-            part = np.minimum(left[at], 50.0)
-            total[at] += below_50(u[at], part)
-            left[at] -= part
-            at = at[left[at] > 0]
-            step = bits[at] + np.uint64(0x9E3779B97F4A7C15)
-            bits[at] = step
-            step = (step ^ (step >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            step = (step ^ (step >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            u = u.copy()
-            u[at] = ((step ^ (step >> np.uint64(31))) >> np.uint64(11)) / float(1 << 53)
-        return pd.Series(total)
-
-    return F.pandas_udf(quantile, T.LongType())
+    def run(runs: pd.DataFrame) -> pd.DataFrame:
+        runs = runs.sort_values("place", ignore_index=True)
+        out = runs[[*groups, "place"]].copy()
+        for c in ("p_sum", "n_sum"):
+            upto = np.cumsum(np.stack(runs[c]), axis=0)
+            out[f"{c}_before"] = list(np.vstack([np.zeros((1, upto.shape[1]), np.int64), upto[:-1]]))
+        return out
+
+    return run
 
 
 def bootstrap_interval(
-    preds: DataFrame, groups: Sequence[str] = RUN, replicates: int = 1000, seed: int = 42, alpha: float = 0.05
+    preds: DataFrame, groups: Sequence[str] = RUN, replicates: int = 1000, seed: int = 42, alpha: float = 0.05, most: int = 65_536
 ) -> DataFrame:
     """Percentile interval of the average precision, per group.
 
-    Average precision only changes at scores with positives, so the ladder is first
-    merged to one row per such score. Every replicate redraws the positives and the
-    negatives of each row with Poisson weights (the limit of resampling rows); draws
-    come from a hash of replicate and row, so a re-run task repeats them. Replicates
-    without positives are dropped. All steps are Spark aggregates and running totals.
+    Average precision only changes at scores with positives, so the ladder is first merged to one row
+    per such score. Every replicate redraws the positives and the negatives of each row with Poisson weights
+    (the limit of resampling rows). The steps are sorted once and packed in runs of at most `most`; a run
+    holds the totals of all replicates as one array, the arrays are summed up over the runs of a
+    group, and each run then adds its part of the average precision of every replicate. Steps x replicates
+    exist in bounded blocks inside a task only. Replicates without positives are dropped.
     """
     ladder = score_ladder(preds, groups)
     steps = ladder.groupBy(*groups, (F.col("p_upto") - F.col("p")).alias("step")).agg(
         F.sum("p").alias("p"), F.sum(F.col("n") - F.col("p")).alias("q")
     )
-    many = steps.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-
-    def draw(salt: int) -> Column:
-        bits = F.xxhash64(*groups, "step", "replicate", F.lit(seed), F.lit(salt))
-        return F.shiftrightunsigned(bits, 11).cast("double") / F.lit(float(2**53))
-
-    poisson = _poisson_draw()
-    drawn = many.select(
-        *groups, "replicate", "step", poisson(draw(1), F.col("p")).alias("p"), poisson(draw(2), F.col("q")).alias("q")
-    )
-    walked = with_running_totals(
-        drawn, [F.col("step")], {"p_upto": F.col("p"), "n_upto": F.col("p") + F.col("q")}, [*groups, "replicate"]
-    )
-    per_replicate = walked.groupBy(*groups, "replicate").agg(
-        _average_precision(*(F.col(c) for c in ("p", "p_upto", "n_upto", "p_upto_all", "n_upto_all"))).alias("pr_auc")
-    )
+    packed = _packed(steps.withColumn("seed", F.xxhash64(*groups, "step", F.lit(seed))), groups, replicates, most)
+    keys = T.StructType([packed.schema[g] for g in groups] + [packed.schema["place"]])
+    wide = T.StructType([*keys, *[T.StructField(f"{c}_before", T.ArrayType(T.LongType())) for c in ("p_sum", "n_sum")]])
+    before = packed.select(*groups, "place", "p_sum", "n_sum").groupBy(*groups).applyInPandas(_offsets(groups), wide).drop(*groups)
+    weights = _weights(replicates)
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.to_dict("records"):
+                p_upto, n_upto = row["p_sum_before"].copy(), row["n_sum_before"].copy()
+                area = np.zeros(replicates)
+                for p, q in weights(*(np.asarray(row[c], dtype=np.int64) for c in ("seeds", "p", "q"))):
+                    p_all, n_all = p_upto + np.cumsum(p, axis=0), n_upto + np.cumsum(p + q, axis=0)
+                    area += (p * (p_all / np.maximum(n_all, 1))).sum(axis=0)
+                    p_upto, n_upto = p_all[-1], n_all[-1]
+                yield pd.DataFrame([{g: row[g] for g in groups} | {"area": area, "p_sum": row["p_sum"], "n_sum": row["n_sum"]}])
+
+    shares = T.StructType([*[packed.schema[g] for g in groups], T.StructField("area", T.ArrayType(T.DoubleType())), packed.schema["p_sum"], packed.schema["n_sum"]])
+    shared = packed.join(before, "place").mapInPandas(parts, shares)
+    spread = shared.select(*groups, F.posexplode(F.arrays_zip("area", "p_sum", "n_sum")).alias("replicate", "part"))
+    summed = spread.groupBy(*groups, "replicate").agg(*[F.sum(f"part.{c}").alias(c) for c in ("area", "p_sum", "n_sum")])
+    area = F.when(F.col("p_sum") == F.col("n_sum"), F.lit(1.0)).otherwise(F.col("area") / F.col("p_sum"))
+    per_replicate = summed.select(*groups, F.when(F.col("p_sum") > 0, area).alias("pr_auc"))
     edge = lambda x: F.coalesce(F.percentile("pr_auc", F.lit(x)), F.lit(0.0))
     return per_replicate.groupBy(*groups).agg(
         edge(alpha / 2).alias("pr_auc_low"), edge(1 - alpha / 2).alias("pr_auc_high"), F.count("pr_auc").alias("replicates")

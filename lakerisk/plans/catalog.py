@@ -323,6 +323,17 @@ def flat_metric_rows(spark, d):
     return evaluation.flat_metrics(_preds(spark, d), replicates=1000)
 
 
+def bootstrap_bounds(spark, d):
+    """Whether each interval holds the average precision it is for, and its replicates, where there are 30 positives or more."""
+    preds = _preds(spark, d)
+    joined = evaluation.rank_areas(preds).join(evaluation.bootstrap_interval(preds), list(evaluation.RUN))
+    enough = F.col("n_positives") >= evaluation.FEW_POSITIVES
+    return joined.select(
+        *evaluation.RUN, "n", "n_positives", F.when(enough, F.col("replicates")).alias("replicates"),
+        F.when(enough, (F.col("pr_auc_low") <= F.col("pr_auc")) & (F.col("pr_auc") <= F.col("pr_auc_high"))).alias("holds"),
+    )
+
+
 def run_summary(spark, d):
     summary = runs.run_summary(run_records(spark, d))
     kept = summary.select("run_id", "cv_pr_auc_mean", "cv_pr_auc_std", "cv_recall_1pct_mean", "train_pr_auc", "overfit_gap")
@@ -511,6 +522,7 @@ def queries() -> dict[str, Query]:
         "rank_areas": lambda s, d: _rounded(evaluation.rank_areas(_preds(s, d)), ["pr_auc", "roc_auc", "expected_recall_1pct"]),
         "segment_metrics": lambda s, d: _rounded(evaluation.segment_metrics(_preds(s, d)), ["pr_auc"]),
         "bootstrap_interval": lambda s, d: evaluation.bootstrap_interval(_preds(s, d)),
+        "bootstrap_bounds": bootstrap_bounds,
         "flat_metrics": flat_metric_rows,
         "pr_points": lambda s, d: curves.precision_recall_points(_preds(s, d)),
         "roc_points": lambda s, d: curves.roc_points(_preds(s, d)),

@@ -466,4 +466,6 @@ def oracle_sql() -> dict[str, str]:
             WHERE rn <= 3 * (SELECT sum(label) FROM cur))""",
         "forward_cv_rounds": f"""{_curated()} SELECT k AS round, count(*) FILTER (WHERE fold >= 0 AND fold < k) AS train_rows, count(*) FILTER (WHERE fold = k) AS valid_rows, count(*) FILTER (WHERE fold >= 0 AND fold < k AND label = 1) AS train_positives
             FROM cur CROSS JOIN (VALUES (1), (2), (3), (4)) t(k) GROUP BY 1""",
+        "bootstrap_bounds": f"""SELECT run_id, split, count(*) AS n, CAST(sum(label) AS BIGINT) AS n_positives, CASE WHEN sum(label) >= 30 THEN 1000 END AS replicates,
+            CASE WHEN sum(label) >= 30 THEN TRUE END AS holds FROM ({binding_sql('preds')}) GROUP BY 1, 2""",
     } | lake_queries.ORACLE

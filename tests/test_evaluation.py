@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,12 +95,33 @@ def test_bootstrap(spark):
     assert sure["pr_auc_low"] == sure["pr_auc_high"] == 1.0
 
 
-def test_poisson_weights_have_the_right_mean(spark):
-    draw = evaluation._poisson_draw()
-    for mean in (1.0, 40.0, 500.0):
-        u = (F.col("id") + 0.5) / 4000
-        got = spark.range(4000).select(draw(u, F.lit(mean)).alias("k")).agg(F.avg("k"), F.var_samp("k")).first()
-        assert got[0] == pytest.approx(mean, rel=0.02) and got[1] == pytest.approx(mean, rel=0.05)
+def test_poisson_weights_have_the_right_mean_and_repeat():
+    draw = evaluation._weights(4000)
+    seeds = np.array([1, -5, 2**62, 7], dtype=np.int64)
+    means = np.array([1, 40, 500, 0], dtype=np.int64)
+    one, two = ([np.vstack(x) for x in zip(*draw(seeds, means, means[::-1].copy()))] for _ in range(2))
+    assert (one[0] == two[0]).all() and (one[1] == two[1]).all()
+    for got, mean in zip(one[0], means):
+        assert got.mean() == pytest.approx(mean, rel=0.05) and got.var() == pytest.approx(mean, rel=0.1)
+
+
+def test_bootstrap_equals_a_walk_over_all_steps(spark):
+    """Runs of any length give what one walk over the steps gives, for each group and replicate."""
+    labels = [1 if i * i % 7 in (1, 2) else 0 for i in range(150)]
+    df = preds(spark, labels, [(i * 37 % 60) / 60 for i in range(150)])
+    both = df.unionByName(df.withColumn("run_id", F.lit("other")).filter("label = 0 OR score > 0.5"))
+    whole = sorted(map(tuple, evaluation.bootstrap_interval(both, replicates=100).collect()))
+    assert len(whole) == 2 and sorted(map(tuple, evaluation.bootstrap_interval(both, replicates=100, most=5).collect())) == [
+        (*r[:2], pytest.approx(r[2]), pytest.approx(r[3]), r[4]) for r in whole
+    ]
+    ladder = evaluation.score_ladder(df)
+    steps = ladder.groupBy(*evaluation.RUN, (F.col("p_upto") - F.col("p")).alias("step")).agg(F.sum("p").alias("p"), F.sum(F.col("n") - F.col("p")).alias("q"))
+    rows = steps.withColumn("seed", F.xxhash64(*evaluation.RUN, "step", F.lit(42))).orderBy("step").toPandas()
+    p, q = (np.vstack(x) for x in zip(*evaluation._weights(100)(*(rows[c].to_numpy() for c in ("seed", "p", "q")))))
+    upto, n = p.cumsum(axis=0), (p + q).cumsum(axis=0)
+    area = (p * upto / np.maximum(n, 1)).sum(axis=0) / p.sum(axis=0)
+    got = next(r for r in whole if r[0] == rows["run_id"][0])
+    assert got[2:4] == (pytest.approx(np.percentile(area, 2.5)), pytest.approx(np.percentile(area, 97.5)))
 
 
 def test_curves(spark):
@@ -192,18 +214,6 @@ def test_quadrants(spark):
     assert got == {"A": "Alto RUC / Alta Informalidad", "B": "Alto RUC / Alta Informalidad", "C": "Alto RUC / Alta Informalidad", "D": "Alto RUC / Alta Informalidad"}
 
 
-def test_poisson_draws_are_exact_at_every_mean():
-    import numpy as np
-    import pandas as pd
-
-    from lakerisk.operators.evaluation import _poisson_draw
-
-    draw, uniform = _poisson_draw().func, pd.Series(np.random.default_rng(0).random(40_000))
-    for mean in (0.0, 0.5, 50.0, 60.0, 130.0, 400.0):
-        got = draw(uniform, pd.Series(np.full(len(uniform), mean)))
-        assert abs(got.mean() - mean) < 0.02 * mean + 1e-9 and abs(got.var() - mean) < 0.05 * mean + 1e-9
-
-
 def test_cut_off_above_the_rows_gives_null(spark):
     got = one(evaluation.ranking_metrics(preds(spark, [1, 0, 0], [0.9, 0.5, 0.1]), ks=[3, 4]))
     assert (got["precision_3"], got["recall_3"], got["lift_3"]) == (pytest.approx(1 / 3), 1.0, 1.0)
