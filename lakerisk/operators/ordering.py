@@ -9,8 +9,11 @@ range keys end in a unique key.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,6 +73,35 @@ def with_rank(
     )
 
 
+def _running(groups: Sequence[str], columns: Sequence[str]) -> Callable:
+    """Replaces columns by their running sums inside each group of a slice that comes in order.
+
+    A batch is summed up as a whole, less what stood before each of its groups; the last group's sums are carried on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, carried = None, np.zeros(len(columns), dtype=np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = lambda at, batch=batch: [batch.column(g)[at].as_py() for g in groups]
+            upto = np.cumsum(np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns], axis=1), axis=0)
+            starts = np.zeros(1, dtype=np.int64)
+            if groups and key(0) != key(batch.num_rows - 1):
+                named = pd.DataFrame({g: batch.column(g).to_pandas() for g in groups}).groupby(groups, sort=False, dropna=False).ngroup().to_numpy()
+                starts = np.concatenate([starts, np.flatnonzero(named[1:] != named[:-1]) + 1])
+            before = np.vstack([np.zeros((1, len(columns)), np.int64), upto[starts[1:] - 1]])
+            if held == key(0):
+                before[0] -= carried
+            sums = upto - np.repeat(before, np.diff(np.append(starts, batch.num_rows)), axis=0)
+            held, carried = key(batch.num_rows - 1), sums[-1]
+            new = dict(zip(columns, sums.T))
+            arrays = [pa.array(new[n]) if n in new else batch.column(n) for n in batch.schema.names]
+            yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
+
+    return run
+
+
 def with_running_totals(
     df: DataFrame,
     order: Sequence[Column],
@@ -79,13 +111,16 @@ def with_running_totals(
     """Running sums of whole-number expressions inside `groups` by `order`.
 
     Every name in `totals` becomes the inclusive running sum, and `<name>_all` the
-    group's overall sum. Sums are bigint, so the result does not depend on slicing.
+    group's overall sum. Sums are bigint, so the result does not depend on slicing; a null adds nothing.
+    Sums inside a slice are taken while the sorted slice is written, so after the range exchange
+    only the slice totals are aggregated and joined, and no row is exchanged again.
     """
-    parts = {n: f"_part_{n}" for n in totals}
-    wide = df.withColumns({parts[n]: e.cast("long") for n, e in totals.items()})
-    rows = _sliced(wide, groups, order)
-    slices = rows.groupBy(*groups, "_slice").agg(
-        *[F.sum(parts[n]).alias(f"_sum_{n}") for n in totals]
+    wide = df.withColumns({f"_local_{n}": F.coalesce(e.cast("long"), F.lit(0)) for n, e in totals.items()})
+    ordered = wide.orderBy(*[F.col(g) for g in groups], *order).withColumn("_place", F.monotonically_increasing_id())
+    summed = ordered.mapInArrow(_running(list(groups), [f"_local_{n}" for n in totals]), ordered.schema)
+    local = stage_table(summed, "ordered").withColumn("_slice", F.shiftright("_place", _SLICE_BITS))
+    slices = local.groupBy(*groups, "_slice").agg(
+        *[F.max_by(f"_local_{n}", "_place").alias(f"_sum_{n}") for n in totals]
     )
     whole = Window.partitionBy(*groups)
     upto = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -95,12 +130,6 @@ def with_running_totals(
         *[(F.sum(f"_sum_{n}").over(upto) - F.col(f"_sum_{n}")).alias(f"_before_{n}") for n in totals],
         *[F.sum(f"_sum_{n}").over(whole).alias(f"{n}_all") for n in totals],
     )
-    inside = (
-        Window.partitionBy(*groups, "_slice")
-        .orderBy("_place")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = rows.withColumns({f"_local_{n}": F.sum(parts[n]).over(inside) for n in totals})
     return _attach(local, slices, [*groups, "_slice"]).select(
         *df.columns,
         *[(F.col(f"_local_{n}") + F.col(f"_before_{n}")).alias(n) for n in totals],

@@ -84,3 +84,21 @@ def test_superseded_tables_go_and_others_stay(spark, tmp_path):
     drop_staged(first, plain, second.filter("id > 2"))
     assert [f.exists() for f in folders] == [False, True]
     assert (plain.count(), second.count()) == (3, 7)
+
+
+def test_running_totals_exchange_no_row_twice(spark, plan_of):
+    """Many small batches, groups that begin and end inside them, and null groups; then no exchange but that of slice totals."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = [(["a", None, "b", "c"][i % 4] if i < 300 else "a", i, i % 5 if i % 11 else None) for i in range(900)]
+        df = spark.createDataFrame(rows, "g string, id long, v long").repartition(6)
+        got = with_running_totals(df, [F.col("id").desc()], {"n": F.lit(1), "s": F.col("v")}, ["g"])
+        expected, seen = {}, {}
+        for g, i, v in sorted(rows, key=lambda r: -r[1]):
+            n, s = seen.get(g, (0, 0))
+            seen[g] = expected[i] = (n + 1, s + (v or 0))
+        assert {r["id"]: (r["n"], r["s"]) for r in got.collect()} == expected
+        assert all((r["n_all"], r["s_all"]) == seen[r["g"]] for r in got.collect())
+        assert plan_of(got).count("Exchange hashpartitioning") <= 1
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
