@@ -37,7 +37,7 @@ START_TEXTS = 400
 START_WORDS = 2_000
 START_ROUNDS = 25
 FREQUENT = 200_000
-GROUP_TOKENS = 1_000_000
+GROUP_TOKENS = 300_000
 END = np.uint64(0xE4D0FDEAD5EEDE4D)
 
 
@@ -59,7 +59,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in text.groups(whole, size=8 * text.GROUP_BYTES):
+            for batch in text.groups(whole):
                 found, group, _ = tokens(batch)
                 names, at, n = np.unique(found, return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(group[at]), pa.array(n)], names=["token", "class", "n"])
@@ -198,9 +198,12 @@ def _start(sequences: DataFrame) -> Model:
 
 
 def _pieces(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Joined symbols and lengths of runs of sequences of bounded size; no sequence is cut."""
+    """Joined symbols and lengths of runs of sequences of bounded size; no sequence is cut.
+
+    Sequences go by length, so a run takes few steps unless its sequences are long.
+    """
     run, size = [], 0
-    for held in column.to_pylist():
+    for held in sorted(column.to_pylist(), key=len):
         part = np.frombuffer(held, np.uint16)
         if run and size + len(part) > GROUP_TOKENS:
             yield np.concatenate(run).astype(np.int64), np.array([len(p) for p in run])
