@@ -114,25 +114,47 @@ def _cutoffs(ks: Sequence[int], size: Column) -> dict[str, Column]:
     return fixed | part
 
 
+def _positives_at(preds: DataFrame, ladder: DataFrame, groups: Sequence[str], ks: Sequence[int]) -> DataFrame:
+    """Positives among the rows each cut-off takes: one row per group, `tp_<cut-off>` each.
+
+    The ladder says which score a cut-off falls on and what lies above. Rows are looked up again and put in the order
+    of their ids only where a cut-off parts tied rows of both labels.
+    """
+    above = F.col("n_upto") - F.col("n")
+    cuts = F.array(*[F.struct(F.lit(c).alias("cut"), k.cast("long").alias("k")) for c, k in _cutoffs(ks, F.col("n_upto_all")).items()])
+    hits = F.coalesce("p", F.lit(0))
+    steps = ladder.select(*groups, "score", "n", hits.alias("p"), (F.col("p_upto") - hits).alias("p_above"), above.alias("above"), F.inline(cuts))
+    ends = stage_table(
+        steps.filter((F.col("k") > F.col("above")) & (F.col("k") <= F.col("above") + F.col("n"))).withColumn("nth", F.col("k") - F.col("above")),
+        "cuts",
+    )
+    mixed = (F.col("nth") < F.col("n")) & (F.col("p") > 0) & (F.col("p") < F.col("n"))
+    parted, keys = ends.filter(mixed), [*groups, "score"]
+    some = F.when(F.col("nth") == F.col("n"), F.col("p")).when(F.col("p") > 0, F.col("nth")).otherwise(F.lit(0))
+    if parted.isEmpty():
+        counted = ends.withColumn("tp", F.col("p_above") + some)
+    else:
+        renamed = lambda df: df.withColumnsRenamed({c: f"_{c}" for c in keys})
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+        rows = preds.select(*groups, "id", F.col("score").cast("double").alias("score"), F.col("label").cast("int").alias("label"))
+        tied = rows.join(renamed(parted.select(*keys).distinct()), same, "left_semi")
+        walked = with_running_totals(tied, [F.col("id")], {"turn": F.lit(1), "hits": F.col("label")}, keys)
+        met = renamed(walked.select(*keys, "turn", "hits"))
+        counted = ends.join(met, [*same, F.col("nth") == F.col("turn"), mixed], "left").withColumn(
+            "tp", F.col("p_above") + F.when(mixed, F.col("hits")).otherwise(some)
+        )
+    return counted.groupBy(*groups).agg(*[F.max(F.when(F.col("cut") == c, F.col("tp"))).alias(f"tp_{c}") for c in _cutoffs(ks, F.lit(0))])
+
+
 def ranking_metrics(preds: DataFrame, groups: Sequence[str] = RUN, ks: Sequence[int] = ABSOLUTE_KS) -> DataFrame:
     """One row per group: sizes, areas, Brier score, metrics at K, confusion counts.
 
-    The ordered pass gives rank and running positives. The first aggregate merges tied
-    scores (and counts the positives inside each cut-off), the second sums over scores.
-    Metrics at an absolute K above the rows of a group are null.
+    Tied scores are merged before anything is ordered; areas, sizes and the rows a cut-off takes come from this
+    ladder, and only rows that tie at a cut-off are looked at singly. Metrics at an absolute K above the rows of a
+    group are null.
     """
-    rows = walk(preds, groups)
-    cuts = _cutoffs(ks, F.col("rank_all"))
-    ladder = rows.groupBy(*groups, "score").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("label").alias("p"),
-        F.max("rank").alias("n_upto"),
-        F.max("hits").alias("p_upto"),
-        F.first("rank_all").alias("n_all"),
-        F.first("hits_all").alias("p_all"),
-        *[F.count_if((F.col("rank") <= k) & (F.col("label") == 1)).alias(f"tp_{c}") for c, k in cuts.items()],
-    )
-    n, p, n_upto, p_upto, n_all, p_all = (F.col(c) for c in ("n", "p", "n_upto", "p_upto", "n_all", "p_all"))
+    ladder = stage_table(score_ladder(preds, groups), "ladder")
+    n, p, n_upto, p_upto, n_all, p_all = (F.col(c) for c in ("n", "p", "n_upto", "p_upto", "n_upto_all", "p_upto_all"))
     score = F.col("score")
     squared = (n - p) * score * score + p * (score - 1.0) * (score - 1.0)
     summed = ladder.groupBy(*groups).agg(
@@ -141,8 +163,9 @@ def ranking_metrics(preds: DataFrame, groups: Sequence[str] = RUN, ks: Sequence[
         F.coalesce(_average_precision(p, p_upto, n_upto, p_all, n_all), F.lit(0.0)).alias("pr_auc"),
         _roc_area(n, p, p_upto, n_all, p_all).alias("roc_auc"),
         F.sum(squared).alias("_squared"),
-        *[F.sum(f"tp_{c}").alias(f"tp_{c}") for c in cuts],
     )
+    at = _positives_at(preds, ladder, groups, ks).withColumnsRenamed({g: f"_{g}" for g in groups})
+    summed = summed.join(at, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups])
     size, positives = F.col("n"), F.col("n_positives")
     final = _cutoffs(ks, size)
     out = [*groups, "n", "n_positives", (positives / size).alias("prevalence"), "pr_auc", "roc_auc",

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from lakerisk.functions.ids import order_hash
 from lakerisk.functions.numbers import soft_log
 from lakerisk.operators.ordering import with_rank
+from lakerisk.operators.selection import quantile_ends
+from lakerisk.session import stage_table
 
 # The columns a model may use, and the limits of the preparation.
 NUMERIC = [
@@ -38,15 +40,6 @@ def candidate_columns(df: DataFrame, variant: str) -> tuple[list[str], list[str]
     return [c for c in NUMERIC if c in have], [c for c in CATEGORICAL + leaky if c in have]
 
 
-def choose_columns(df: DataFrame, variant: str) -> tuple[list[str], list[str]]:
-    """The candidates that hold at least one value; one aggregate finds the empty ones."""
-    numeric, categorical = candidate_columns(df, variant)
-    if not numeric and not categorical:
-        return [], []
-    filled = df.agg(*[F.count(c).alias(c) for c in numeric + categorical]).first()
-    return [c for c in numeric if filled[c]], [c for c in categorical if filled[c]]
-
-
 @dataclass
 class Preparation:
     """What is learnt from the training rows: a few numbers and names per column."""
@@ -111,31 +104,76 @@ def pool_rare(value: Column, kept: Sequence[str]) -> Column:
     return F.when(named.isin(list(kept)), named).otherwise(F.lit(INFREQUENT))
 
 
-def fit_preparation(train: DataFrame, variant: str, linear: bool) -> Preparation:
-    """Learn caps, medians, missing marks and kept categories in two passes.
+# Per column and quantile: the two values around it, and how far it lies from the first to the second.
+Ends = dict[str, dict[str, tuple[float, float, float]]]
+QUANTILES = {"median": 0.5, "cap": TOP_QUANTILE}
+
+
+def _exact_ends(train: DataFrame, numeric: Sequence[str]) -> Ends:
+    """Exact quantiles of all columns at once: the columns are stored side by side, and each scan counts all of them."""
+    wide = stage_table(train.select(*[F.col(c).cast("double").alias(c) for c in numeric]), "numeric")
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("x")) for c in numeric])
+    found = quantile_ends(wide.select(F.inline(cells)), F.col("x"), QUANTILES, ["column"], stored=True)
+    return {r["column"]: {q: (r[f"low_{q}"], r[f"high_{q}"], r[f"part_{q}"]) for q in QUANTILES} for r in found.collect()}
+
+
+def _sketched_ends(train: DataFrame, numeric: Sequence[str]) -> Ends:
+    """Quantiles from mergeable sketches in one pass; each is the value of a row near the wanted place."""
+    sketch = lambda c, q: F.percentile_approx(F.col(c).cast("double"), q, 10000)
+    seen = train.agg(*[sketch(c, x).alias(f"{q}_{c}") for c in numeric for q, x in QUANTILES.items()]).first()
+    return {c: {q: (seen[f"{q}_{c}"],) * 2 + (0.0,) for q in QUANTILES} for c in numeric}
+
 
-    Top-coding and log keep the order of values, so the median of a shaped column is
-    the shaped median, and caps and medians come from the same aggregate.
+def fit_preparation(train: DataFrame, variant: str, linear: bool, sketch: bool = False) -> Preparation:
+    """Learn caps, medians, missing marks and kept categories.
+
+    Quantiles are exact and linear between neighbours, or from sketches on demand. Top-coding and log keep the order
+    of values, so the shaped median lies between the shaped neighbours of the plain one. Columns without a value
+    are left out; a cap that is not positive is none.
     """
     numeric, categorical = candidate_columns(train, variant)
-    capped = [c for c in numeric if linear and c in LOGGED]
-    number = lambda c: F.col(c).cast("double")
-    learnt = [F.count(F.lit(1)).alias("rows")]
-    learnt += [F.count(c).alias(f"filled_{c}") for c in numeric + categorical]
-    learnt += [F.percentile_approx(number(c), 0.5, 10000).alias(f"median_{c}") for c in numeric]
-    learnt += [F.percentile_approx(number(c), TOP_QUANTILE, 10000).alias(f"cap_{c}") for c in capped]
+    learnt = [F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"filled_{c}") for c in numeric + categorical]]
     seen = train.agg(*learnt).first()
     prep = Preparation([c for c in numeric if seen[f"filled_{c}"]], [c for c in categorical if seen[f"filled_{c}"]], linear)
     prep.with_missing = [c for c in prep.numeric if seen[f"filled_{c}"] < seen["rows"]]
-    prep.caps = {c: float(seen[f"cap_{c}"]) for c in capped if (seen[f"cap_{c}"] or 0) > 0}
+    ends = (_sketched_ends if sketch else _exact_ends)(train, prep.numeric) if prep.numeric else {}
     for c in prep.numeric:
-        middle = float(seen[f"median_{c}"])
-        prep.medians[c] = log1p(max(0.0, min(middle, prep.caps.get(c, middle)))) if c in LOGGED else middle
+        low, high, part = ends[c]["cap"]
+        cap = low + (high - low) * part
+        if linear and c in LOGGED and cap > 0:
+            prep.caps[c] = cap
+        low, high, part = ends[c]["median"]
+        if c in LOGGED:
+            low, high = (log1p(max(0.0, min(x, prep.caps.get(c, x)))) for x in (low, high))
+        prep.medians[c] = low + (high - low) * part
     limits = {c: CATEGORY_LIMITS.get(c, DEFAULT_CATEGORY_LIMIT) for c in prep.categorical}
     prep.categories = frequent_categories(train, limits)
     return prep
 
 
+def preparation_report(rows: DataFrame, prep: Preparation) -> DataFrame:
+    """What a preparation does to rows, one row per column.
+
+    Numeric columns have their median, cap, rows imputed, and mean and ends of the prepared values; categorical ones
+    the number of kept names and the rows that are pooled.
+    """
+    numbers, names = prep.numeric_columns(), prep.category_columns()
+    sums = []
+    for c in prep.numeric:
+        value = numbers[f"num_{c}"]
+        marked = F.sum(numbers[f"missing_{c}"]).cast("long") if c in prep.with_missing else F.lit(0).cast("long")
+        fixed = [F.lit(prep.medians[c]).alias("median"), F.lit(prep.caps.get(c)).cast("double").alias("cap")]
+        seen = [marked.alias("changed"), F.avg(value).alias("mean"), F.min(value).alias("least"), F.max(value).alias("greatest")]
+        sums.append(F.struct(F.lit(c).alias("column"), *fixed, *seen, F.lit(None).cast("long").alias("kept")))
+    for c in prep.categorical:
+        void = [F.lit(None).cast("double").alias(n) for n in ("median", "cap")]
+        ends = [F.lit(None).cast("double").alias(n) for n in ("mean", "least", "greatest")]
+        pooled = F.count_if(names[f"cat_{c}"] == INFREQUENT).alias("changed")
+        kept = F.lit(len(prep.categories[c])).cast("long").alias("kept")
+        sums.append(F.struct(F.lit(c).alias("column"), *void, pooled, *ends, kept))
+    return rows.agg(F.array(*sums).alias("parts")).select(F.inline("parts"))
+
+
 def class_weight(rows: DataFrame) -> Column:
     """Balanced weight n / (2 * n_class); both counts come from one scalar subquery."""
     counts = F.struct(

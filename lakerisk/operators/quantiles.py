@@ -7,30 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakerisk.operators.ordering import with_running_totals
+from lakerisk.operators.selection import quantile_ends
 
 
 def exact_quantiles(df: DataFrame, column: str, wanted: Mapping[str, float], groups: Sequence[str] = ()) -> DataFrame:
     """One row per group with the named quantiles, linear between neighbours.
 
-    Equal values are merged first, then the running counts of the sorted values say
-    which value holds each position. Unlike an exact percentile aggregate, no task
-    ever holds all distinct values.
+    The neighbours are found by refining histograms, so no row is sorted or exchanged, and unlike with an exact
+    percentile aggregate, no task ever holds all distinct values.
     """
-    values = df.filter(F.col(column).isNotNull()).groupBy(*groups, F.col(column).cast("double").alias("_x"))
-    walked = with_running_totals(
-        values.agg(F.count(F.lit(1)).alias("_n")), [F.col("_x")], {"_upto": F.col("_n")}, groups
-    )
-
-    def at(place):
-        inside = (place >= F.col("_upto") - F.col("_n")) & (place < F.col("_upto"))
-        return F.max(F.when(inside, F.col("_x")))
-
-    ends = {}
-    for name, q in wanted.items():
-        spot = F.lit(q) * (F.col("_upto_all") - 1)
-        ends[f"_low_{name}"], ends[f"_high_{name}"] = at(F.floor(spot)), at(F.ceil(spot))
-        ends[f"_part_{name}"] = F.max(spot - F.floor(spot))
-    found = walked.groupBy(*groups).agg(*[e.alias(n) for n, e in ends.items()])
-    low, high, part = (lambda n, p=p: F.col(f"_{p}_{n}") for p in ("low", "high", "part"))
-    return found.select(*groups, *[(low(n) + (high(n) - low(n)) * part(n)).alias(n) for n in wanted])
+    ends = quantile_ends(df, F.col(column), wanted, groups)
+    low, high, part = (lambda n, p=p: F.col(f"{p}_{n}") for p in ("low", "high", "part"))
+    return ends.select(*groups, *[(low(n) + (high(n) - low(n)) * part(n)).alias(n) for n in wanted])

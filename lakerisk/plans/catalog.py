@@ -401,6 +401,13 @@ def prep_onehot_topk(spark, d):
     return base.select("entity_id", preparation.pool_rare(F.col("activity"), kept).alias("activity"))
 
 
+def preparation_fitted(spark, d):
+    """The preparation of the linear models learnt on the feature table, and what it does to it."""
+    rows = stage_table(_one_month(spark, d), "features")
+    report = preparation.preparation_report(rows, preparation.fit_preparation(rows, "V1", linear=True))
+    return _rounded(report, ["median", "cap", "mean", "least", "greatest"], 6)
+
+
 def prep_class_weights(spark, d):
     rows = stage_table(_placed(spark, d).select("id", "label"), "placed")
     return rows.select("id", preparation.class_weight(rows).alias("weight"))
@@ -562,6 +569,7 @@ def queries() -> dict[str, Query]:
         "prep_winsor_log": prep_winsor_log,
         "prep_impute": prep_impute,
         "prep_onehot_topk": prep_onehot_topk,
+        "preparation_fitted": preparation_fitted,
         "prep_class_weights": prep_class_weights,
         "negative_sample": negative_sample,
         "forward_cv_rounds": forward_cv_rounds,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lakerisk.operators import preparation
 from lakerisk.plans import lake_queries
 from lakerisk.plans.bindings import binding_sql
 
@@ -251,6 +252,29 @@ def _segments() -> str:
         FROM ap JOIN atk USING (run_id, split, segment))"""
 
 
+def _preparation() -> str:
+    """Medians, caps, imputed and pooled rows of every model column over the feature table."""
+    capped = lambda c: f"least({c}, CASE WHEN (SELECT cap_{c} FROM q) > 0 THEN (SELECT cap_{c} FROM q) ELSE 'infinity'::DOUBLE END)"
+    shaped = lambda c: f"CASE WHEN {c} IS NOT NULL THEN ln(1 + greatest(0, {capped(c)})) END" if c in preparation.LOGGED else f"{c}::DOUBLE"
+    caps = ", ".join(f"quantile_cont({c}::DOUBLE, {preparation.TOP_QUANTILE}) AS cap_{c}" for c in preparation.LOGGED)
+    numbers = [
+        f"""SELECT '{c}' AS "column", round(m, 6) AS median, {f'(SELECT CASE WHEN cap_{c} > 0 THEN round(cap_{c}, 6) END FROM q)' if c in preparation.LOGGED else 'NULL::DOUBLE'} AS cap,
+        count(*) - count(x) AS changed, round(avg(coalesce(x, m)), 6) AS mean, round(min(coalesce(x, m)), 6) AS least, round(max(coalesce(x, m)), 6) AS greatest, NULL::BIGINT AS kept
+        FROM (SELECT *, median(x) OVER () AS m FROM (SELECT {shaped(c)} AS x FROM fe)) GROUP BY m HAVING count(x) > 0"""
+        for c in preparation.NUMERIC
+    ]
+    names = []
+    for c in preparation.CATEGORICAL + preparation.LEAKY_CATEGORICAL:
+        most = preparation.CATEGORY_LIMITS.get(c, preparation.DEFAULT_CATEGORY_LIMIT)
+        stays = f"(d <= {most} OR place < {most})"
+        names.append(
+            f"""SELECT '{c}', NULL, NULL, CAST(coalesce(sum(n) FILTER (WHERE NOT {stays}), 0) AS BIGINT), NULL, NULL, NULL, count(*) FILTER (WHERE {stays})
+            FROM (SELECT *, row_number() OVER (ORDER BY n DESC, v) AS place, count(*) OVER () AS d FROM (
+              SELECT coalesce(CAST({c} AS STRING), 'DESCONOCIDO') AS v, count(*) AS n, count({c}) AS f FROM fe GROUP BY 1)) HAVING sum(f) > 0"""
+        )
+    return f"WITH fe AS MATERIALIZED ({_features(MONTH, ORDER_CUTOFF)}), q AS MATERIALIZED (SELECT {caps} FROM fe) " + " UNION ALL ".join(numbers + names)
+
+
 def _feed_input() -> str:
     """CTEs: bronze feed, input after keep-latest on a full order, and the row verdicts."""
     return f"""{_from(feed='feed')},
@@ -461,6 +485,7 @@ def oracle_sql() -> dict[str, str]:
         "prep_impute": f"""SELECT entity_id, coalesce(workers, (SELECT quantile_cont(workers, 0.5) FROM {_registry(MONTH)})) AS workers, CASE WHEN workers IS NULL THEN 1 ELSE 0 END AS workers_missing FROM {_registry(MONTH)}""",
         "prep_onehot_topk": f"""WITH x AS (SELECT entity_id, coalesce(activity, 'DESCONOCIDO') AS activity FROM {_registry(MONTH)}), k AS (SELECT activity FROM x GROUP BY 1 ORDER BY count(*) DESC, activity LIMIT 29)
             SELECT entity_id, CASE WHEN activity IN (SELECT activity FROM k) THEN activity ELSE 'infrequent' END AS activity FROM x""",
+        "preparation_fitted": _preparation(),
         "prep_class_weights": f"""{_curated()}, c AS (SELECT count(*)::DOUBLE AS n, sum(label) AS p FROM cur) SELECT id, CASE WHEN label = 1 THEN n / (2 * p) ELSE n / (2 * (n - p)) END AS weight FROM cur CROSS JOIN c""",
         "negative_sample": f"""{_curated()} SELECT id, label FROM cur WHERE label = 1 UNION ALL (SELECT id, label FROM (SELECT id, label, row_number() OVER (ORDER BY md5(id || '_salt_42_sample'), id) AS rn FROM cur WHERE label = 0)
             WHERE rn <= 3 * (SELECT sum(label) FROM cur))""",

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from lakerisk.config import RUN_PREFIX
 from lakerisk.functions.numbers import percent, quadrant, ratio
 from lakerisk.operators.curves import score_histogram
-from lakerisk.operators.ordering import with_rank
-from lakerisk.operators.ranking import by_score, flag_latest_runs, top_per_split, version_months
+from lakerisk.operators.ranking import flag_latest_runs, top_per_split, version_months
+from lakerisk.operators.selection import rank_cuts, ranked_score
+from lakerisk.session import stage_table
 
 # Quadrant labels.
 QUADRANTS = (
@@ -105,17 +106,20 @@ def regional_panorama(summary: DataFrame, preds: DataFrame, runs: DataFrame, pre
     """Regional figures with the model's risk per region, run and split.
 
     A region counts its rows in the top 1 % of its run and split: rank <= n/100,
-    without a ceiling, which differs from the cut-off of the official metrics.
+    without a ceiling, which differs from the cut-off of the official metrics. The row where
+    that share ends is found by histograms of the scores, so the rows themselves are not sorted.
     """
-    ranked = with_rank(
-        preds.select("run_id", "split", "id", "score", "label", F.upper(F.trim("region")).alias("place")),
-        by_score(), ["run_id", "split"], "_rank", total="_of",
-    )
-    model = ranked.groupBy("run_id", "split", "place").agg(
+    rows = stage_table(preds.select("run_id", "split", "id", "score", "label", F.upper(F.trim("region")).alias("place")), "scored")
+    cuts = rank_cuts(rows, {"top": F.floor(F.col("n") * 0.01)}, ["run_id", "split"], stored=True)
+    ends = cuts.select(F.col("run_id").alias("_run"), F.col("split").alias("_split"), "cut_score", "cut_id")
+    marked = rows.join(ends, [F.col("run_id").eqNullSafe(F.col("_run")), F.col("split").eqNullSafe(F.col("_split"))], "left")
+    tied = (ranked_score(F.col("score")) == F.col("cut_score")) & (F.col("cut_id").isNull() | (F.col("id") <= F.col("cut_id")))
+    in_top = (ranked_score(F.col("score")) > F.col("cut_score")) | tied
+    model = marked.groupBy("run_id", "split", "place").agg(
         F.count(F.lit(1)).alias("n_scored"),
         F.sum("label").alias("n_positives"),
         F.avg("score").alias("mean_score"),
-        F.count_if(F.col("_rank") <= F.col("_of") * 0.01).alias("n_top_1pct"),
+        F.count_if(in_top).alias("n_top_1pct"),
     )
     named = summary.withColumn("place", F.upper(F.trim("region")))
     return (

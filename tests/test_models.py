@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,10 +28,25 @@ def rows(spark):
 
 
 def test_empty_columns_are_left_out(rows):
-    numeric, categorical = preparation.choose_columns(rows, "V2")
-    assert "aff_age_days" not in numeric and "total_amount" in numeric and "status" not in categorical
+    prep = preparation.fit_preparation(rows, "V2", linear=True)
+    assert "aff_age_days" not in prep.numeric and "total_amount" in prep.numeric and "status" not in prep.categorical
     leaky = rows.withColumn("status", F.lit("ACTIVO"))
-    assert "status" in preparation.choose_columns(leaky, "V1")[1] and "status" not in preparation.choose_columns(leaky, "V2")[1]
+    assert "status" in preparation.candidate_columns(leaky, "V1")[1] and "status" not in preparation.candidate_columns(leaky, "V2")[1]
+
+
+def test_medians_and_caps_are_exact(spark):
+    """An even number of values: the median of a logged column is the mean of two logarithms; sketches stay near."""
+    values = [0.5 * i * i for i in range(1, 401)]
+    df = spark.createDataFrame([(v, -v, "a") for v in values], "total_amount double, id_sequence double, region string")
+    prep = preparation.fit_preparation(df, "V2", linear=True)
+    cap = float(np.quantile(values, 0.995))
+    shaped = np.log1p(np.minimum(values, cap))
+    assert prep.caps == {"total_amount": pytest.approx(cap)}
+    assert prep.medians["total_amount"] == pytest.approx(float(np.median(shaped)), rel=1e-12)
+    assert prep.medians["id_sequence"] == pytest.approx(-float(np.median(values)))
+    rough = preparation.fit_preparation(df, "V2", linear=True, sketch=True)
+    assert rough.medians["total_amount"] == pytest.approx(prep.medians["total_amount"], rel=0.01)
+    assert preparation.fit_preparation(df.limit(0), "V2", linear=True).numeric == []
 
 
 def test_preparation(rows):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakerisk.operators.ordering import with_rank, with_running_totals
 from lakerisk.operators.quantiles import exact_quantiles
+from lakerisk.operators.selection import BOUND, rank_cuts, values_at
 from lakerisk.session import drop_scratch, drop_staged, scratch_path, shared_folder, stage_table
 
 
@@ -102,3 +103,58 @@ def test_running_totals_exchange_no_row_twice(spark, plan_of):
         assert plan_of(got).count("Exchange hashpartitioning") <= 1
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def long_tailed(spark, n=1500):
+    """Values over 600 orders of magnitude, a heap of equal ones, signs, nulls, infinities and NaN; a hot, a null and a one-row group."""
+    import math
+
+    odd = [None, math.nan, math.inf, -math.inf, 0.0, -0.0, 5e-324]
+    value = lambda i: odd[i % 700] if i % 700 < 7 else 7.5 if i % 3 == 0 else (-1) ** i * 10.0 ** ((i * 7919) % 601 - 300)
+    rows = [("hot" if i % 3 else [None, "a", "b"][i % 9 // 3], i, value(i)) for i in range(n)] + [("single", n, 2.0), ("void", n + 1, None)]
+    return rows, spark.createDataFrame(rows, "g string, id long, score double").repartition(5)
+
+
+@pytest.mark.parametrize("few", [20, 65_536])
+def test_values_at_places_equal_sorting(spark, few):
+    import math
+
+    rows, df = long_tailed(spark)
+    n = F.col("n")
+    got = values_at(df, F.col("score"), {"first": F.lit(0), "mid": F.floor(n / 2), "last": n - 1, "past": n, "before": F.lit(-1)}, ["g"], few)
+    held = {}
+    for g, _, x in rows:
+        if x is not None:
+            held.setdefault(g, []).append(BOUND if math.isnan(x) else max(-BOUND, min(BOUND, x)))
+    found = {r["g"]: (r["n"], r["first"], r["mid"], r["last"], r["past"], r["before"]) for r in got.collect()}
+    assert found == {g: (len(v), min(v), sorted(v)[len(v) // 2], max(v), None, None) for g, v in held.items()}
+
+
+def test_values_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "g string, id long, score double")
+    assert values_at(empty, F.col("score"), {"x": F.lit(0)}).count() == 0
+    assert rank_cuts(empty, {"x": F.lit(1)}, ["g"]).count() == 0
+
+
+@pytest.mark.parametrize("few", [20, 65_536])
+def test_rank_cuts_equal_the_plain_window(spark, few):
+    df = skewed(spark).withColumn("score", F.when(F.col("id") % 97 != 0, F.col("score")))
+    n = F.col("n")
+    cuts = {"none": F.lit(0), "one": F.lit(1), "part": F.floor(n * 0.3), "half": F.floor(n * 0.5), "all": n, "more": n + 5, "missing": F.lit(None)}
+    got = {(r["g"], r["cut"]): r for r in rank_cuts(df, cuts, ["g"], few).collect()}
+    groups = {}
+    for r in df.collect():
+        groups.setdefault(r["g"], []).append((-(r["score"] if r["score"] is not None else -BOUND), r["id"]))
+    assert set(got) == {(g, c) for g in groups for c in ("one", "part", "half", "all", "more")}
+    for (g, c), r in got.items():
+        ordered = sorted(groups[g])
+        size = len(ordered)
+        want = ordered[: {"one": 1, "part": int(size * 0.3), "half": int(size * 0.5), "all": size, "more": size}[c]]
+        taken = [t for t in ordered if -t[0] > r["cut_score"] or (-t[0] == r["cut_score"] and (r["cut_id"] is None or t[1] <= r["cut_id"]))]
+        assert taken == want and r["take"] == len(want)
+
+
+def test_selection_sorts_no_row(spark, plan_of):
+    """Histograms are combined before the shuffle: what is exchanged are bins and values of small bins, never rows."""
+    got = values_at(skewed(spark), F.col("score"), {"mid": F.floor(F.col("n") / 2)}, ["g"])
+    assert "rangepartitioning" not in plan_of(got)
