@@ -7,13 +7,13 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakerisk.functions.regions import in_capital
 from lakerisk.functions.text import strip_space
-from lakerisk.operators.ordering import with_running_totals
+from lakerisk.operators.ordering import WINDOW_ROWS, with_running_totals
 from lakerisk.session import stage_table
 
 # Cut-offs, segment names and the size below which a segment is frail.
@@ -118,7 +118,8 @@ def _positives_at(preds: DataFrame, ladder: DataFrame, groups: Sequence[str], ks
     """Positives among the rows each cut-off takes: one row per group, `tp_<cut-off>` each.
 
     The ladder says which score a cut-off falls on and what lies above. Rows are looked up again and put in the order
-    of their ids only where a cut-off parts tied rows of both labels.
+    of their ids only where a cut-off parts tied rows of both labels: by a window while no such tie has more than
+    `WINDOW_ROWS` rows, and spread over slices beyond.
     """
     above = F.col("n_upto") - F.col("n")
     cuts = F.array(*[F.struct(F.lit(c).alias("cut"), k.cast("long").alias("k")) for c, k in _cutoffs(ks, F.col("n_upto_all")).items()])
@@ -130,15 +131,20 @@ def _positives_at(preds: DataFrame, ladder: DataFrame, groups: Sequence[str], ks
     )
     mixed = (F.col("nth") < F.col("n")) & (F.col("p") > 0) & (F.col("p") < F.col("n"))
     parted, keys = ends.filter(mixed), [*groups, "score"]
+    most = parted.agg(F.max("n")).first()[0]
     some = F.when(F.col("nth") == F.col("n"), F.col("p")).when(F.col("p") > 0, F.col("nth")).otherwise(F.lit(0))
-    if parted.isEmpty():
+    if most is None:
         counted = ends.withColumn("tp", F.col("p_above") + some)
     else:
         renamed = lambda df: df.withColumnsRenamed({c: f"_{c}" for c in keys})
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
         rows = preds.select(*groups, "id", F.col("score").cast("double").alias("score"), F.col("label").cast("int").alias("label"))
         tied = rows.join(renamed(parted.select(*keys).distinct()), same, "left_semi")
-        walked = with_running_totals(tied, [F.col("id")], {"turn": F.lit(1), "hits": F.col("label")}, keys)
+        if most <= WINDOW_ROWS:
+            upto = Window.partitionBy(*keys).orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            walked = tied.withColumns({"turn": F.count(F.lit(1)).over(upto), "hits": F.coalesce(F.sum("label").over(upto), F.lit(0))})
+        else:
+            walked = with_running_totals(tied, [F.col("id")], {"turn": F.lit(1), "hits": F.col("label")}, keys)
         met = renamed(walked.select(*keys, "turn", "hits"))
         counted = ends.join(met, [*same, F.col("nth") == F.col("turn"), mixed], "left").withColumn(
             "tp", F.col("p_above") + F.when(mixed, F.col("hits")).otherwise(some)
@@ -146,13 +152,15 @@ def _positives_at(preds: DataFrame, ladder: DataFrame, groups: Sequence[str], ks
     return counted.groupBy(*groups).agg(*[F.max(F.when(F.col("cut") == c, F.col("tp"))).alias(f"tp_{c}") for c in _cutoffs(ks, F.lit(0))])
 
 
-def ranking_metrics(preds: DataFrame, groups: Sequence[str] = RUN, ks: Sequence[int] = ABSOLUTE_KS) -> DataFrame:
+def ranking_metrics(preds: DataFrame, groups: Sequence[str] = RUN, ks: Sequence[int] = ABSOLUTE_KS, stored: bool = False) -> DataFrame:
     """One row per group: sizes, areas, Brier score, metrics at K, confusion counts.
 
     Tied scores are merged before anything is ordered; areas, sizes and the rows a cut-off takes come from this
     ladder, and only rows that tie at a cut-off are looked at singly. Metrics at an absolute K above the rows of a
-    group are null.
+    group are null. The four columns needed are stored once; `stored` says that `preds` is a plain table already.
     """
+    if not stored:
+        preds = stage_table(preds.select(*groups, "id", "score", "label"), "preds")
     ladder = stage_table(score_ladder(preds, groups), "ladder")
     n, p, n_upto, p_upto, n_all, p_all = (F.col(c) for c in ("n", "p", "n_upto", "p_upto", "n_upto_all", "p_upto_all"))
     score = F.col("score")

@@ -21,6 +21,8 @@ from lakerisk.session import stage_table
 
 # monotonically_increasing_id keeps the partition number above bit 33.
 _SLICE_BITS = 33
+# Rows of a group, counted beforehand, up to which callers may use a plain window in place of slices.
+WINDOW_ROWS = 1_000_000
 
 
 def _attach(rows: DataFrame, slices: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakerisk.operators.ordering import with_rank
+from lakerisk.operators.ordering import WINDOW_ROWS, with_rank
 from lakerisk.session import stage_table
 
 BINS = 4096
@@ -114,7 +114,7 @@ def rank_cuts(rows: DataFrame, cuts: Mapping[str, Column], groups: Sequence[str]
     A cut is the number of rows it takes, an expression over `n`, the group's rows. Columns: groups, cut, take,
     cut_score, cut_id. A row is taken when its `ranked_score` is above cut_score, or equals it with an id up to cut_id;
     cut_id is null where all rows of that score are taken. Cuts that take no row, or null ones, are left out. Only rows
-    whose score ties at a cut that parts them are sorted.
+    whose score ties at a cut that parts them are sorted, by a window up to `WINDOW_ROWS` of them and in slices beyond.
     """
     narrow = rows.select(*groups, "id", ranked_score(F.col("score")).alias("_score"))
     narrow = narrow if stored else stage_table(narrow, "scores")
@@ -129,11 +129,16 @@ def rank_cuts(rows: DataFrame, cuts: Mapping[str, Column], groups: Sequence[str]
     )
     sides = stage_table(sides.withColumn("_nth", F.col("take") - F.col("_above")), "cuts")
     parted = sides.filter(F.col("_nth") < F.col("_ties"))
-    if parted.isEmpty():
+    most = parted.agg(F.max("_ties")).first()[0]
+    if most is None:
         return sides.select(*groups, "cut", "take", "cut_score", F.lit(None).cast(narrow.schema["id"].dataType).alias("cut_id"))
     tied = parted.select(*[F.col(g).alias(f"_of_{g}") for g in groups], "cut_score").distinct()
     held = narrow.join(tied, [*same, F.col("_score") == F.col("cut_score")]).select(*groups, "_score", "id")
-    numbered = with_rank(held, [F.col("id")], [*groups, "_score"], "_turn").select(
+    if most <= WINDOW_ROWS:
+        numbered = held.withColumn("_turn", F.row_number().over(Window.partitionBy(*groups, "_score").orderBy("id")))
+    else:
+        numbered = with_rank(held, [F.col("id")], [*groups, "_score"], "_turn")
+    numbered = numbered.select(
         *[F.col(g).alias(f"_of_{g}") for g in groups], F.col("_score").alias("_tied"), F.col("_turn"), F.col("id").alias("cut_id")
     )
     met = [*same, F.col("cut_score") == F.col("_tied"), F.col("_nth") == F.col("_turn"), F.col("_nth") < F.col("_ties")]

@@ -232,3 +232,17 @@ def test_top_of_a_split_with_ties_over_all_parts(spark):
 def test_interval_of_a_group_whose_positives_lead(spark):
     got = one(evaluation.bootstrap_interval(preds(spark, [1] * 20 + [0] * 80, [1 - i / 100 for i in range(100)])))
     assert (got["pr_auc_low"], got["pr_auc_high"]) == (pytest.approx(1.0), pytest.approx(1.0)) and got["replicates"] == 1000
+
+
+@pytest.mark.parametrize("window", [1_000_000, 3])
+def test_cut_offs_that_part_ties(spark, monkeypatch, window):
+    """Cut-offs inside large ties of both labels, by a window and in slices, equal counting rows in order."""
+    monkeypatch.setattr(evaluation, "WINDOW_ROWS", window)
+    rows = [("r", "test" if i % 4 else "train", i * 7919 % 2000, [0.9, 0.5, 0.5, None][i % 4 if i % 9 else 3], i % 3 % 2) for i in range(2000)]
+    preds = spark.createDataFrame(rows, "run_id string, split string, id long, score double, label int")
+    for r in evaluation.ranking_metrics(preds, ks=(100, 5000)).collect():
+        ordered = sorted((x for x in rows if x[1] == r["split"]), key=lambda x: (-x[3] if x[3] is not None else 1, x[2]))
+        hits = lambda k, ordered=ordered: sum(x[4] for x in ordered[:k])
+        assert r["n"] == len(ordered) and r["n_positives"] == hits(len(ordered))
+        assert r["precision_100"] == hits(100) / 100 and r["precision_5000"] is None
+        assert (r["tp_1pct"], r["tp_5pct"]) == (hits(-(-len(ordered) // 100)), hits(-(-len(ordered) // 20)))
