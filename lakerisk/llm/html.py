@@ -7,8 +7,8 @@ text directly inside elements with a marginal above one half is kept. Potentials
 over labelled pages: pages that mark their own article, at most `SAMPLE_PAGES` of them (those with the
 smallest hash), and a few layouts written down here.
 
-Defined cases: null and empty pages give empty text; broken markup is read as far as it goes
-and an unfinished tag at the end is dropped; pages without an article are judged by the same
+Defined cases: null and empty pages give empty text; broken markup is read as far as it goes,
+an unknown declaration (`<![if x]>`) is a comment and an unfinished tag at the end is dropped; pages without an article are judged by the same
 potentials; repeated rows give repeated results; an empty table gives an empty result and the
 written layouts alone train the model; other columns pass through `extract`.
 """
@@ -94,6 +94,12 @@ class Tree(HTMLParser):
                 del self.open[i:]
                 break
 
+    def parse_marked_section(self, i, report=1):
+        """A marked section other than CDATA is a comment up to its first `>`; the parser's own method raises on it."""
+        if self.rawdata.startswith("<![CDATA[", i):
+            return super().parse_marked_section(i, report)
+        return self.parse_bogus_comment(i, report)
+
     def handle_data(self, data):
         self.texts.append((self.open[-1], data))
 

@@ -223,6 +223,20 @@ def test_html_extracts_the_article(spark):
     assert html.extract(empty, html.fit(empty)).count() == 0
 
 
+def test_html_reads_malformed_pages():
+    """Declarations, sections and quotes left open, and very deep nesting, are read and what follows them is kept."""
+    words = lambda page: "".join(t for _, t in html.Tree(page).texts)
+    for odd in ("<![foo[bar]]>", "<![if IE]>", "<![endif]>", "<![]>", "<![", "<!x>", "<?php x ?>", "<!-- a -->", "<![CDATA[c]]>", "<!DOCTYPE html>"):
+        assert "kept" in words(f"<p>kept</p>{odd}"), odd
+        if odd.endswith(">"):
+            assert "after" in words(f"{odd}<p>after</p>"), odd
+    for open_end in ("<!", "<?", "<", "</", "<!--", '<p class="x', "<![CDATA[", "<![foo[", "&#", "&"):
+        assert "kept" in words(f"<p>kept</p>{open_end}"), open_end
+    deep = html.Tree("<div>" * 50_000 + "deep")
+    assert len(deep.tag) == 50_001 and "deep" in "".join(t for _, t in deep.texts)
+    assert len(deep.evidence()) == 50_001
+
+
 def test_html_marginals_equal_enumeration():
     model = html.potentials(sum((html.observed(t, y) for t, y in html.layouts()), Counter()))
     tree = html.Tree("<div class=content><p>some text<b>x</b></p><ul class=menu><li>a</li></ul></div>")
