@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from lakerisk.config import ENCODING_WEIGHT, RUN_PREFIX
 from lakerisk.functions.ids import hash_uniform
+from lakerisk.operators.boosting import LeafwiseBoosting
 from lakerisk.operators.encoding import apply_rates, category_rates, negative_weight, standard_encodings
 from lakerisk.operators.evaluation import rank_areas
 from lakerisk.operators.ordering import with_rank
@@ -45,7 +46,7 @@ from lakerisk.session import stage_table
 _LR_GRID = {"c": [0.01, 0.1, 1.0, 10.0]}
 _DT_GRID = {"depth": [3, 5, 6], "leaf": [50, 200]}
 _RF_GRID = {"trees": [300], "depth": [8, 16], "leaf": [50, 200]}
-_GBT_GRID = {"rate": [0.05, 0.1], "rounds": [200, 400], "depth": [4, 5], "leaf": [20, 100]}
+_HGB_GRID = {"rate": [0.05, 0.1], "rounds": [200], "leaves": [15, 31]}
 EXPERIMENTS = [
     ("E1", "LR", "V2", True, 200, "bloques", _LR_GRID),
     ("E2", "DT", "V2", True, 200, "bloques", _DT_GRID),
@@ -57,8 +58,8 @@ EXPERIMENTS = [
     ("E10", "DT", "V2", True, 200, "bloques", {"depth": [8, 10, 12], "leaf": [20, 100, 500]}),
     ("E11", "DT", "V2", True, 200, "bloques", {"impurity": ["entropy"], "depth": [5, 8], "leaf": [50, 200]}),
     ("E12", "DT", "V2", True, 200, "bloques", {"impurity": ["gini"], "depth": [4, 7], "leaf": [50, 200]}),
-    ("E13", "GBT", "V2", True, 200, "bloques", _GBT_GRID),
-    ("E14", "GBT", "V2", False, 200, "bloques", _GBT_GRID),
+    ("E13", "HGB", "V2", True, 200, "bloques", _HGB_GRID),
+    ("E14", "HGB", "V2", False, 200, "bloques", _HGB_GRID),
     ("E15", "RF", "V2", False, 200, "bloques", _RF_GRID),
     ("E16", "RF", "V2", True, 200, "bloques", _RF_GRID),
     ("E5T", "LR", "V2", False, 200, "temporal", _LR_GRID),
@@ -78,12 +79,14 @@ def settings(grid: Mapping[str, Sequence]) -> list[dict]:
 
 
 def classifier(model: str, setting: Mapping, weight_total: float, seed: int = 42):
-    """The Spark ML estimator for a model code and one grid setting."""
+    """The estimator for a model code and one grid setting: Spark ML's, or the leaf-wise boosting for HGB."""
     shared = {"featuresCol": "features", "labelCol": "label", "weightCol": "weight"}
     if model == "LR":
         # The penalty of this estimator is averaged over the weights, hence 1 / (C * total).
         strength = 1.0 / (setting.get("c", 1.0) * weight_total)
         return LogisticRegression(**shared, regParam=strength, elasticNetParam=0.0, standardization=False, maxIter=setting.get("max_iter", 1000), tol=1e-5)
+    if model == "HGB":
+        return LeafwiseBoosting(setting.get("rounds", 200), setting.get("rate", 0.1), setting.get("leaves", 31), setting.get("leaf", 20))
     tree = {"maxDepth": setting.get("depth", 5), "minInstancesPerNode": setting.get("leaf", 50), "seed": seed, "maxBins": 64}
     if model == "DT":
         return DecisionTreeClassifier(**shared, **tree, impurity=setting.get("impurity", "gini"))
