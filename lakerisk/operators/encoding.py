@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakerisk.config import ENCODING_WEIGHT, FOLDS
+from lakerisk.config import ENCODING_WEIGHT
 from lakerisk.session import stage_table
 
 _COHORT_SIZE = 100_000
@@ -26,7 +26,12 @@ def standard_encodings() -> list[tuple[str, list[str], Column]]:
     ]
 
 
-def category_rates(train: DataFrame, key: Column, folds: int = FOLDS, weight: Column | None = None) -> DataFrame:
+def fold_count(train: DataFrame) -> int:
+    """Folds of the train rows, numbered from 0; one without rows counts too."""
+    return (train.agg(F.max("fold").alias("last")).first()["last"] or 0) + 1
+
+
+def category_rates(train: DataFrame, key: Column, folds: int, weight: Column | None = None) -> DataFrame:
     """One row per category: rows and positives in all, and in each fold.
 
     A fixed number of conditional sums replaces a (category, fold) table and its
@@ -48,15 +53,15 @@ def category_rates(train: DataFrame, key: Column, folds: int = FOLDS, weight: Co
     )
 
 
-def _own_fold(prefix: str, folds: int) -> Column:
+def _own_fold(prefix: str, rates: DataFrame) -> Column:
     own = F.lit(0)
-    for k in range(folds):
-        own = F.when(F.col("fold") == k, F.col(f"{prefix}{k}")).otherwise(own)
+    for k in (c.removeprefix(prefix) for c in rates.columns if c.startswith(prefix) and c != prefix):
+        own = F.when(F.col("fold") == int(k), F.col(f"{prefix}{k}")).otherwise(own)
     return own
 
 
 def apply_rates(
-    rows: DataFrame, rates: DataFrame, key: Column, name: str, prevalence: Column, m: float, folds: int = FOLDS
+    rows: DataFrame, rates: DataFrame, key: Column, name: str, prevalence: Column, m: float
 ) -> DataFrame:
     """Smoothed rate (p + m*prevalence) / (n + m) of each row's category.
 
@@ -65,8 +70,8 @@ def apply_rates(
     prevalence.
     """
     zero = F.lit(0)
-    n = F.coalesce(F.col("_n"), zero) - F.coalesce(_own_fold("_n", folds), zero)
-    p = F.coalesce(F.col("_p"), zero) - F.coalesce(_own_fold("_p", folds), zero)
+    n = F.coalesce(F.col("_n"), zero) - F.coalesce(_own_fold("_n", rates), zero)
+    p = F.coalesce(F.col("_p"), zero) - F.coalesce(_own_fold("_p", rates), zero)
     rate = (p + F.lit(float(m)) * prevalence) / (n + F.lit(float(m)))
     joined = rows.withColumn("_key", key).join(rates, "_key", "left").withColumn(name, rate.cast("double"))
     return joined.select(*rows.columns, name)
@@ -77,7 +82,7 @@ def encode_out_of_fold(
     key: Column,
     name: str,
     m: float = ENCODING_WEIGHT,
-    folds: int = FOLDS,
+    folds: int | None = None,
     weight: Column | None = None,
 ) -> DataFrame:
     """Add `name`: the encoding fitted on the train part, never on a row's own fold."""
@@ -88,10 +93,10 @@ def encode_all(
     dataset: DataFrame,
     encodings: Sequence[tuple[str, Column]],
     m: float = ENCODING_WEIGHT,
-    folds: int = FOLDS,
+    folds: int | None = None,
     weight: Column | None = None,
 ) -> DataFrame:
-    """Add several encodings, all fitted on the rows as given.
+    """Add several encodings, all fitted on the rows as given; the folds are those of the train rows unless given.
 
     Pass a stored table: the rates of every encoding and the prevalence read it once
     each, with only the columns they need. The rates are stored too: with a known size
@@ -99,13 +104,14 @@ def encode_all(
     that may hold a third of them; a large table is joined by AQE's skew join.
     """
     train = dataset.filter(F.col("split") == "train")
+    folds = fold_count(train) if folds is None else folds
     one = F.lit(1) if weight is None else weight
     mean = F.sum(one * F.col("label")).cast("double") / F.nullif(F.sum(one).cast("double"), F.lit(0.0))
     prevalence = train.select(F.coalesce(mean, F.lit(0.0)).alias("prevalence")).scalar()
     out = dataset
     for name, key in encodings:
         rates = stage_table(category_rates(train, key, folds, weight), "rates")
-        out = apply_rates(out, rates, key, name, prevalence, m, folds)
+        out = apply_rates(out, rates, key, name, prevalence, m)
     return out
 
 

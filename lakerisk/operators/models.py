@@ -193,11 +193,11 @@ class Learner:
         prep = fit_preparation(fit_rows, self.variant, self.model == "LR")
         mass = F.col("_stands_for")
         keyed = _encodings(fit_rows.columns)
-        folds = F.count_distinct("fold") if keyed else F.lit(0)
-        seen = fit_rows.agg((F.sum(mass * F.col("label")) / F.sum(mass)).alias("p"), folds.alias("folds")).first()
+        folds = (F.count_distinct("fold"), F.max("fold") + 1) if keyed else (F.lit(0), F.lit(0))
+        seen = fit_rows.agg((F.sum(mass * F.col("label")) / F.sum(mass)).alias("p"), folds[0].alias("folds"), folds[1].alias("upto")).first()
         prevalence = seen["p"] or 0.0
         rates = {
-            name: stage_table(category_rates(fit_rows, key, weight=mass), "rates")
+            name: stage_table(category_rates(fit_rows, key, seen["upto"], mass), "rates")
             for name, key in keyed
             if seen["folds"] >= 2
         }

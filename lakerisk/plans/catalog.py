@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from lakerisk.operators import (
 )
 from lakerisk.plans import lake_queries, views
 from lakerisk.plans.bindings import bind, load, run_records
-from lakerisk.plans.oracle import AFFILIATION_CUTOFF, CUTOFFS, LABEL_CUTOFF, MONTH, ORDER_CUTOFF
+from lakerisk.plans.oracle import AFFILIATION_CUTOFF, CUTOFFS, FEATURES, LABEL_CUTOFF, MODELS, MONTH, NULL_COLUMNS, ORDER_CUTOFF
 from lakerisk.session import scratch_path, stage_table
 from lakerisk.sources import readers, small
 
@@ -195,17 +196,25 @@ def serial_dates(spark, d):
     return raw.select("o_orderkey", serial_date(F.col("n")).alias("from_serial"), day_first_date(F.col("t")).alias("from_text"))
 
 
+# Month headers as source files spell them.
+MONTH_HEADERS = ["ene", "FEB", "Mar.", "abr", "may", "jun.", "JUL", "ago", "SET.", "oct", "Nov.", "Dic"]
+
+
 def revenue_unpivot(spark, d):
-    cents = F.col("o_totalprice").cast("decimal(18,2)")
-    at = F.month("o_orderdate")
-    sales = load(spark, d, "orders").join(load(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
-    wide = sales.join(load(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).groupBy(
-        F.when(F.col("n_nationkey") == 6, "Provincia Constitucional del Callao").alias("cell_a"), F.col("n_name").alias("cell_b")
-    ).agg(
-        F.sum(F.when(at == 1, cents)).alias("2001_ene"), F.sum(F.when(at == 9, cents)).alias("2001_SET."),
-        F.lit("n.d.").alias("2001_Dic"), F.count(F.lit(1)).alias("2001_total"),
+    """All months of all years side by side, beside a column of totals and one of marks, back to long rows."""
+    sales = load(spark, d, "orders").join(load(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey")).join(
+        load(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey")
     )
-    return small.revenue_long(wide, ("cell_a", "cell_b"))
+    at = F.to_date("o_orderdate")
+    first, last = sales.agg(F.min(F.year(at)), F.max(F.year(at))).first()
+    heads = [f"{year}_{month}" for year in range(first, last + 1) for month in MONTH_HEADERS]
+    head = F.concat(F.year(at), F.lit("_"), F.get(F.array(*map(F.lit, MONTH_HEADERS)), F.month(at) - 1))
+    wide = sales.select(
+        F.when(F.col("n_nationkey") == 6, "Provincia Constitucional del Callao").alias("cell_a"), F.col("n_name").alias("cell_b"),
+        head.alias("head"), F.col("o_totalprice").cast("decimal(18,2)").alias("cents"),
+    ).groupBy("cell_a", "cell_b").pivot("head", heads).agg(F.sum("cents"))
+    marked = wide.withColumns({f"{last + 1}_Dic": F.lit("n.d."), f"{last}_total": F.lit(0)})
+    return small.revenue_long(marked, ("cell_a", "cell_b"))
 
 
 def oldest_resolution(spark, d):
@@ -275,10 +284,6 @@ def exclusion_leak(spark, d):
     return quality.leaked_exclusions(_curated(spark, d).select("id"), listed)
 
 
-NULL_COLUMNS = ["id", "label", "split", "status", "condition", "workers", "region", "activity", "no_workers", "n_orders", "total_amount"]
-AUDITED = ["activity", "workers", "aff_age_days", "n_orders", "ref_month"]
-
-
 # ---- evaluation and views -----------------------------------------------------------
 
 def _official(spark, d):
@@ -426,16 +431,36 @@ def _model_rows(spark, d):
     return stage_table(_curated(spark, d), "model-rows")
 
 
-def model_scores(model: str, setting: dict) -> Query:
+MODEL_SETTINGS = {
+    "LR": {"c": 0.1, "max_iter": 50}, "DT": {"depth": 5, "leaf": 5}, "RF": {"trees": 20, "depth": 5, "leaf": 5},
+    "GBT": {"rounds": 10, "depth": 3, "leaf": 5, "rate": 0.1}, "HGB": {"rounds": 5, "leaves": 15, "leaf": 5, "rate": 0.1},
+}
+
+
+def _predicted(rows: DataFrame, model: str) -> DataFrame:
+    fitted = models.Learner(model, per_positive=5).fit_all(rows.filter(F.col("split") == "train"), [MODEL_SETTINGS[model]])[0]
+    return models.score_population(rows, fitted, f"risk-run-{model.lower()}")
+
+
+def model_scores(model: str) -> Query:
     """Fit on the train part with sampled negatives, score everyone, rank everyone."""
+    return lambda spark, d: _predicted(_model_rows(spark, d), model)
 
-    def query(spark, d):
-        rows = _model_rows(spark, d)
-        learner = models.Learner(model, per_positive=5)
-        fitted = learner.fit_all(rows.filter(F.col("split") == "train"), [setting])[0]
-        return models.score_population(rows, fitted, f"risk-run-{model.lower()}")
 
-    return query
+def model_checks(spark, d):
+    """What holds for the predictions of every model, whatever was learnt."""
+    rows = _model_rows(spark, d)
+    parts = [_predicted(rows, model).withColumn("model", F.lit(model)) for model in MODELS]
+    scored = stage_table(reduce(DataFrame.unionByName, parts), "scored")
+    seen = scored.groupBy("model").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"), F.count_distinct("rank_global").alias("ranks"),
+        F.min("rank_global").alias("first"), F.max("rank_global").alias("last"), F.every(F.col("score").between(0, 1)).alias("scores_are_chances"),
+    )
+    areas = evaluation.rank_areas(scored.filter(F.col("split") == "train"), ["model"]).select(
+        "model", (F.col("pr_auc") > F.col("n_positives") / F.col("n")).alias("train_above_prevalence")
+    )
+    gapless = (F.col("first") == 1) & (F.col("last") == F.col("rows")) & (F.col("ranks") == F.col("rows"))
+    return seen.join(areas, "model").select("model", "rows", "ids", gapless.alias("ranks_without_gap"), "scores_are_chances", "train_above_prevalence")
 
 
 def model_cross_validation(spark, d):
@@ -511,7 +536,8 @@ def queries() -> dict[str, Query]:
         "curation_report": lambda s, d: quality.curation_report(_placed(s, d), "v2"),
         "dataset_invariants": lambda s, d: quality.dataset_invariants(_placed(s, d)),
         "duplicate_keys": lambda s, d: quality.repeated_keys(bind(s, d, "snapshots"), ["entity_id", "year", "month"]),
-        "feature_audit": lambda s, d: quality.feature_audit(_curated(s, d), AUDITED),
+        "feature_audit": lambda s, d: quality.feature_audit(_curated(s, d), FEATURES),
+        "feature_faults": lambda s, d: quality.feature_faults(_curated(s, d), FEATURES),
         "key_counts": lambda s, d: quality.key_counts(_placed(s, d)),
         "prevalence_by_split": lambda s, d: quality.prevalence_by_split(_placed(s, d)),
         "prevalence_by_fold": lambda s, d: quality.prevalence_by_fold(_placed(s, d)),
@@ -573,10 +599,8 @@ def queries() -> dict[str, Query]:
         "prep_class_weights": prep_class_weights,
         "negative_sample": negative_sample,
         "forward_cv_rounds": forward_cv_rounds,
-        "model_lr": model_scores("LR", {"c": 0.1, "max_iter": 50}),
-        "model_dt": model_scores("DT", {"depth": 5, "leaf": 5}),
-        "model_rf": model_scores("RF", {"trees": 20, "depth": 5, "leaf": 5}),
-        "model_gbt": model_scores("GBT", {"rounds": 10, "depth": 3, "leaf": 5, "rate": 0.1}),
+        **{f"model_{model.lower()}": model_scores(model) for model in MODELS},
+        "model_checks": model_checks,
         "model_cross_validation": model_cross_validation,
         "model_forward_validation": model_forward_validation,
         "model_coefficients": model_coefficients,

@@ -8,6 +8,16 @@ from lakerisk.plans.bindings import binding_sql
 
 MONTH, ORDER_CUTOFF, AFFILIATION_CUTOFF, LABEL_CUTOFF = "200106", "2001-06-30", "2001-03-20", "2000-12-31"
 CUTOFFS = [("200103", "2001-03-31"), ("200106", "2001-06-30")]
+# Every column of a labelled row that is no key, split or label.
+FEATURES = (
+    "region ref_month main_activity activity status condition entity_type workers workers_known no_workers n_activities billing_mode "
+    "accounting_mode id_prefix id_sequence months_seen billing_changed status_changed new_in_period months_gap total_amount n_orders max_amount "
+    "n_buyers annulled_share median_amount top_buyer_share total_contracted contract_count contract_age_days has_contracts amount_per_worker "
+    "aff_age_days aff_n_types aff_invoice_portal aff_receipt_portal aff_own_system aff_fees_only affiliated regional_informal_pct"
+).split()
+NULL_COLUMNS = ["id", "entity_id", "label", "split", "fold", "issue_date", "firm_date", "representative", *FEATURES]
+REVENUE_MONTHS = ["Ene.", "Feb.", "Mar.", "Abr.", "May.", "Jun.", "Jul.", "Ago.", "Sep.", "Oct.", "Nov.", "Dic."]
+MODELS = ["LR", "DT", "RF", "GBT", "HGB"]
 ELIGIBLE = (
     "'EMPRESA INDIVIDUAL DE RESPONSABILIDAD LIMITADA', 'PERSONA NATURAL CON NEGOCIO', 'SOCIEDAD ANONIMA CERRADA', "
     "'SOCIEDAD COMERCIAL DE RESPONSABILIDAD LIMITADA', 'CONTRATOS COLABORACION EMPRESARIAL', "
@@ -342,12 +352,13 @@ def oracle_sql() -> dict[str, str]:
         "normalise_region": f"SELECT entity_id, {_norm('region')} AS region, upper(strip_accents(trim(region))) AS cleaned FROM ({binding_sql('registry')}) WHERE TRUE",
         "code_map": f"SELECT s_suppkey, {_by_code('s_nationkey + 1')} AS region FROM supplier",
         "serial_dates": """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS from_serial, CAST(o_orderdate AS DATE) AS from_text FROM orders""",
-        "revenue_unpivot": f"""SELECT CASE WHEN n_nationkey = 6 THEN 'Callao' ELSE n_name END AS region, '2001_' || m AS period, CAST(2001 AS BIGINT) AS year, m AS month,
-            amount FROM (SELECT n_nationkey, n_name, 'Ene.' AS m, CAST(CAST(sum(CASE WHEN month(o_orderdate) = 1 THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS STRING) AS DOUBLE) AS amount
-              FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL
-            UNION ALL SELECT n_nationkey, n_name, 'Sep.', CAST(CAST(sum(CASE WHEN month(o_orderdate) = 9 THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS STRING) AS DOUBLE)
-              FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL
-            UNION ALL SELECT n_nationkey, n_name, 'Dic.', NULL FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL)""",
+        "revenue_unpivot": f"""WITH s AS (SELECT CASE WHEN n_nationkey = 6 THEN 'Callao' ELSE n_name END AS region, year(o_orderdate) AS y, month(o_orderdate) AS m, CAST(o_totalprice AS DECIMAL(18,2)) AS cents
+              FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey),
+            span AS (SELECT min(y) AS first, max(y) AS last FROM s), places AS (SELECT DISTINCT region FROM s),
+            months AS (SELECT unnest(range(1, 13)) AS m, unnest({REVENUE_MONTHS}) AS month), g AS (SELECT region, y, m, sum(cents) AS cents FROM s GROUP BY ALL),
+            grid AS (SELECT * FROM places, months, (SELECT unnest(range(first, last + 1)) AS y FROM span))
+            SELECT region, y || '_' || month AS period, CAST(y AS BIGINT) AS year, month, CAST(CAST(cents AS STRING) AS DOUBLE) AS amount FROM grid LEFT JOIN g USING (region, y, m)
+            UNION ALL SELECT region, (last + 1) || '_Dic.', CAST(last + 1 AS BIGINT), 'Dic.', NULL FROM places, span""",
         "oldest_resolution": """SELECT 10000000000 * (1 + o_custkey % 2) + o_custkey AS entity_id, CAST(o_orderdate AS DATE) AS issue_date, o_orderkey AS source_row
             FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn = 1""",
         "clean_affiliations": f"SELECT DISTINCT entity_id, voucher_type, start_date FROM ({binding_sql('affiliations')})",
@@ -377,14 +388,19 @@ def oracle_sql() -> dict[str, str]:
         "feature_audit": f"{_curated()} " + " UNION ALL ".join(
             f"SELECT '{c}' AS feature, count({c}) AS filled, count(CASE WHEN split = 'train' AND label = 1 THEN {c} END) AS filled_positives, count(DISTINCT {c}) AS distinct_values, "
             f"CASE WHEN count({c}) = 0 THEN 'empty' WHEN count(CASE WHEN split = 'train' AND label = 1 THEN {c} END) = 0 THEN 'null in train positives' WHEN count(DISTINCT {c}) < 2 THEN 'constant' ELSE 'ok' END AS verdict FROM cur"
-            for c in ("activity", "workers", "aff_age_days", "n_orders", "ref_month")),
+            for c in FEATURES),
+        "feature_faults": f"{_curated()} " + " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, CASE WHEN count({c}) = 0 THEN 'empty' WHEN count(CASE WHEN split = 'train' AND label = 1 THEN {c} END) = 0 THEN 'null in train positives' "
+            f"WHEN count(DISTINCT {c}) < 2 THEN 'constant' ELSE 'ok' END AS verdict FROM cur" for c in FEATURES),
+        "model_checks": f"{_curated()} SELECT model, count(*) AS rows, count(DISTINCT id) AS ids, TRUE AS ranks_without_gap, TRUE AS scores_are_chances, TRUE AS train_above_prevalence "
+        f"FROM cur, (SELECT unnest({MODELS}) AS model) GROUP BY model",
         "key_counts": f"{_curated()} SELECT count(*) AS rows, count(DISTINCT id) AS ids, count(*) - count(DISTINCT id) AS repeated FROM cur",
         "prevalence_by_split": f"{_curated()} SELECT split, {_BALANCE} FROM cur GROUP BY split UNION ALL SELECT 'TOTAL', {_BALANCE} FROM cur",
         "prevalence_by_fold": f"{_curated()} SELECT fold, {_BALANCE} FROM cur GROUP BY fold",
         "exclusion_leak": f"{_curated()} SELECT count(*) AS leaked FROM cur WHERE entity_id IN (SELECT entity_id FROM ({binding_sql('exclusions')}))",
         "null_rates": f"{_curated()} SELECT count(*) AS rows, " + ", ".join(
             f"round(1e2 * count(CASE WHEN {c} IS NULL THEN 1 END) / count(*), 2) AS null_pct_{c}"
-            for c in ("id", "label", "split", "status", "condition", "workers", "region", "activity", "no_workers", "n_orders", "total_amount")) + " FROM cur",
+            for c in NULL_COLUMNS) + " FROM cur",
         "positives_by_region": f"{_curated()} SELECT region, {_BALANCE}, round(1e2 * sum(label) / sum(sum(label)) OVER (), 2) AS share_pct FROM cur GROUP BY region",
         "source_coverage": f"""{_curated()} SELECT split, label, count(*) AS rows, round(1e2 * count(*) FILTER (WHERE n_orders > 0) / count(*), 2) AS with_orders_pct,
               round(1e2 * count(contract_age_days) / count(*), 2) AS with_order_date_pct, round(1e2 * count(*) FILTER (WHERE n_buyers > 0) / count(*), 2) AS with_buyer_pct,

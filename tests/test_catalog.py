@@ -36,7 +36,7 @@ def test_registry_is_consistent():
     own = catalog.queries()
     assert set(own) <= set(QUERIES)
     assert {n for n in own if n not in ORACLE} == {
-        "bootstrap_interval", "flat_metrics", "model_lr", "model_dt", "model_rf", "model_gbt", "model_cross_validation",
+        "bootstrap_interval", "flat_metrics", "model_lr", "model_dt", "model_rf", "model_gbt", "model_hgb", "model_cross_validation",
         "model_forward_validation", "model_coefficients", "model_permutation",
     }
 

@@ -127,6 +127,10 @@ def test_feature_audit(spark):
     df = spark.createDataFrame(rows, "id string, split string, label int, ok double, empty double, same double, nohit double")
     got = {r["feature"]: r["verdict"] for r in quality.feature_audit(df, ["ok", "empty", "same", "nohit"]).collect()}
     assert got == {"ok": "ok", "empty": "empty", "same": "constant", "nohit": "null in train positives"}
+    assert {r["feature"]: r["verdict"] for r in quality.feature_faults(df, ["ok", "empty", "same", "nohit"]).collect()} == got
+    assert [r[:] for r in quality.feature_audit(df, ["nohit"]).collect()] == [("nohit", 2, 0, 2, "null in train positives")]
+    for audit in (quality.feature_audit, quality.feature_faults):
+        assert {r["verdict"] for r in audit(df.limit(0), ["ok", "same"]).collect()} == {"empty"}
     with pytest.raises(quality.QualityError, match="same constant"):
         quality.gate_features_filled(df, ["ok", "same"])
     with pytest.raises(quality.QualityError, match="absent"):
@@ -146,3 +150,12 @@ def test_coverage_and_scoring(spark):
     reg = spark.createDataFrame([(1, True), (9, True)], "entity_id bigint, positive boolean")
     assert curation.label_coverage(feats, reg).first()[:] == (2, 1)
     assert sorted(r["positive"] for r in curation.scoring_dataset(feats, reg).collect()) == [False, True, True]
+
+
+def test_a_sixth_fold_is_left_out_too(spark):
+    """Each fold holds one row of the category; the last one's label must not reach its own encoding."""
+    rows = [(str(i), "train", i, int(i == 5), "a") for i in range(6)] + [("t", "test", -1, 0, "a")]
+    df = spark.createDataFrame(rows, ENC)
+    got = {r["id"]: r["te"] for r in encoding.encode_out_of_fold(df, F.col("cat"), "te", m=4).collect()}
+    assert got["5"] == pytest.approx((0 + 4 / 6) / (5 + 4)) and got["0"] == pytest.approx((1 + 4 / 6) / (5 + 4))
+    assert got["t"] == pytest.approx((1 + 4 / 6) / (6 + 4))
