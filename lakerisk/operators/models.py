@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
+from random import Random
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
@@ -385,32 +386,38 @@ def tree_rules(fitted: FittedModel) -> str:
     return text
 
 
-def permutation_importance(fitted: FittedModel, rows: DataFrame, columns: Sequence[str], repeats: int = 3, seed: int = 42) -> DataFrame:
-    """Mean and spread of the loss of average precision when a column is shuffled.
+def permuted(rows: DataFrame, columns: Sequence[str], repeats: int = 3, seed: int = 42) -> DataFrame:
+    """`rows` once per column and repeat, with that column taken from another row: adds `feature` and `repeat`.
 
-    A repeat pairs every row with a donor: ranks by id and ranks by a hash are joined.
-    One pairing serves all columns of the repeat, and every variant is measured in a
-    single ranking pass.
+    Rows are put in a random order once, and a repeat takes the values of the row a drawn number of places ahead, the
+    start following the end. So every repeat is a permutation in which no row keeps its own value, and the only sort
+    is that of the rows as given. All columns and repeats are one plan: rows are repeated after the exchange.
     """
-    base = stage_table(rows, "permuted")
-    ids = base.select("id")
-    own = with_rank(ids, [F.col("id")], (), "_at")
-    variants = fitted.score(base).select(F.lit("").alias("feature"), F.lit(-1).alias("repeat"), "id", "score", "label")
-    for r in range(repeats):
-        drawn = with_rank(
-            ids.withColumn("_hash", hash_uniform(F.col("id").cast("string"), seed + r)), [F.col("_hash"), F.col("id")], (), "_at"
-        )
-        donors = drawn.select(F.col("id").alias("_donor"), "_at")
-        given = base.select(F.col("id").alias("_donor"), *[F.col(c).alias(f"_new_{c}") for c in columns])
-        paired = stage_table(base.join(own, "id").join(donors, "_at").join(given, "_donor"), "paired")
-        for c in columns:
-            shuffled = paired.withColumn(c, F.col(f"_new_{c}")).select(*base.columns)
-            variants = variants.unionByName(
-                fitted.score(shuffled).select(F.lit(c).alias("feature"), F.lit(r).alias("repeat"), "id", "score", "label")
-            )
+    drawn = rows.withColumn("_hash", hash_uniform(F.col("id").cast("string"), seed))
+    ranked = stage_table(with_rank(drawn, [F.col("_hash"), F.col("id")], (), "_at").drop("_hash"), "permuted")
+    n = ranked.count()
+    ahead = [Random(seed + r).randrange(1, n) if n > 1 else 0 for r in range(repeats)]
+    steps = F.array(*[F.struct(F.lit(r).alias("repeat"), F.lit(k).cast("long").alias("_ahead")) for r, k in enumerate(ahead)])
+    own = ranked.select("*", F.inline(steps)).withColumn("_from", F.pmod(F.col("_at") - 1 + F.col("_ahead"), F.lit(max(n, 1))) + 1)
+    given = ranked.select(F.col("_at").alias("_from"), F.struct(*columns).alias("_given"))
+    each = own.join(given, "_from").withColumn("feature", F.explode(F.array(*map(F.lit, columns))))
+    mixed = {c: F.when(F.col("feature") == c, F.col(f"_given.{c}")).otherwise(F.col(c)) for c in columns}
+    return each.withColumns(mixed).select(*rows.columns, "feature", "repeat")
+
+
+def permutation_importance(fitted: FittedModel, rows: DataFrame, columns: Sequence[str] | None = None, repeats: int = 3, seed: int = 42) -> DataFrame:
+    """Mean and spread of the loss of average precision when a column is shuffled; all columns of the model unless given.
+
+    All variants are scored by one plan and measured in a single ranking pass over their merged scores.
+    """
+    columns = [*fitted.prep.numeric, *fitted.prep.categorical] if columns is None else list(columns)
+    base = stage_table(rows, "intact")
+    shown = ["feature", "repeat", "id", "score", "label"]
+    intact = fitted.score(base.withColumns({"feature": F.lit(""), "repeat": F.lit(-1)})).select(*shown)
+    variants = intact.unionByName(fitted.score(permuted(base, columns, repeats, seed)).select(*shown))
     areas = stage_table(rank_areas(variants, ["feature", "repeat"]).select("feature", "repeat", "pr_auc"), "areas")
-    intact = areas.filter(F.col("feature") == "").select("pr_auc").scalar()
-    lost = areas.filter(F.col("feature") != "").withColumn("lost", intact - F.col("pr_auc"))
+    whole = areas.filter(F.col("feature") == "").select("pr_auc").scalar()
+    lost = areas.filter(F.col("feature") != "").withColumn("lost", whole - F.col("pr_auc"))
     return lost.groupBy("feature").agg(F.avg("lost").alias("importance"), F.stddev_pop("lost").alias("spread")).orderBy(
         F.col("importance").desc(), "feature"
     )

@@ -483,7 +483,7 @@ def model_coefficients(spark, d):
 def model_permutation(spark, d):
     rows = _model_rows(spark, d)
     fitted = models.Learner("DT").fit_all(rows.filter(F.col("split") == "train"), [{"depth": 4, "leaf": 5}])[0]
-    return models.permutation_importance(fitted, rows.filter(F.col("split") == "train"), ["total_amount", "workers", "id_sequence"])
+    return models.permutation_importance(fitted, rows.filter(F.col("split") == "train"))
 
 
 def queries() -> dict[str, Query]:

@@ -124,3 +124,26 @@ def test_permutation_importance(rows):
     fitted = models.Learner("DT").fit_all(rows.filter("split = 'train'"), [{"depth": 3, "leaf": 5}])[0]
     got = {r["feature"]: r["importance"] for r in models.permutation_importance(fitted, rows, ["total_amount", "workers"], repeats=1).collect()}
     assert got["total_amount"] > 0.2 > abs(got["workers"])
+
+
+def test_permuted_rows(spark, rows):
+    """Each variant holds the values of its column once more, no row its own, and nothing else changes."""
+    base = rows.select("id", "label", "total_amount", F.col("id").alias("copy"), "region")
+    made = models.permuted(base, ["copy", "region"], repeats=2).collect()
+    assert len(made) == 2 * 2 * 500 and {(r["feature"], r["repeat"]) for r in made} == {(c, k) for c in ("copy", "region") for k in (0, 1)}
+    before = {r["id"]: r for r in base.collect()}
+    drawn = []
+    for k in (0, 1):
+        mine = {r["id"]: r["copy"] for r in made if r["feature"] == "copy" and r["repeat"] == k}
+        assert sorted(mine.values()) == sorted(before) and all(i != v for i, v in mine.items())
+        drawn.append(mine)
+    assert drawn[0] != drawn[1]
+    assert all(r["total_amount"] == before[r["id"]]["total_amount"] and (r["feature"] == "region" or r["region"] == before[r["id"]]["region"]) for r in made)
+    assert models.permuted(base.limit(1), ["copy"]).count() == 3 and models.permuted(base.limit(0), ["copy"]).count() == 0
+
+
+def test_permutation_of_all_columns(rows):
+    fitted = models.Learner("DT").fit_all(rows.filter(F.col("split") == "train"), [{"depth": 3, "leaf": 5}])[0]
+    got = {r["feature"]: r for r in models.permutation_importance(fitted, rows).collect()}
+    assert set(got) == {*fitted.prep.numeric, *fitted.prep.categorical}
+    assert max(got, key=lambda c: got[c]["importance"]) == "total_amount" and got["total_amount"]["spread"] < 0.2
