@@ -38,6 +38,7 @@ from lakerisk.operators.preparation import (
     forward_rounds,
     sample_negatives,
 )
+from lakerisk.operators.pruning import PruningTree
 from lakerisk.operators.ranking import rank_population
 from lakerisk.operators.runs import best_parameters
 from lakerisk.session import stage_table
@@ -47,7 +48,7 @@ from lakerisk.session import stage_table
 _LR_GRID = {"c": [0.01, 0.1, 1.0, 10.0]}
 _DT_GRID = {"depth": [3, 5, 6], "leaf": [50, 200]}
 _RF_GRID = {"trees": [300], "depth": [8, 16], "leaf": [50, 200]}
-_HGB_GRID = {"rate": [0.05, 0.1], "rounds": [200], "leaves": [15, 31]}
+_HGB_GRID = {"rate": [0.05, 0.1], "rounds": [200, 400], "leaves": [15, 31], "leaf": [20, 100]}
 EXPERIMENTS = [
     ("E1", "LR", "V2", True, 200, "bloques", _LR_GRID),
     ("E2", "DT", "V2", True, 200, "bloques", _DT_GRID),
@@ -57,8 +58,8 @@ EXPERIMENTS = [
     ("E6", "DT", "V2", False, 200, "bloques", _DT_GRID),
     ("E9", "LR", "V2", True, 200, "bloques", {"c": [0.03, 0.3, 3.0, 30.0, 100.0, 300.0, 1000.0]}),
     ("E10", "DT", "V2", True, 200, "bloques", {"depth": [8, 10, 12], "leaf": [20, 100, 500]}),
-    ("E11", "DT", "V2", True, 200, "bloques", {"impurity": ["entropy"], "depth": [5, 8], "leaf": [50, 200]}),
-    ("E12", "DT", "V2", True, 200, "bloques", {"impurity": ["gini"], "depth": [4, 7], "leaf": [50, 200]}),
+    ("E11", "DT", "V2", True, 200, "bloques", {"impurity": ["entropy"], "depth": [5, 8], "leaf": [50, 200], "alpha": [0.0, 0.00001, 0.0001]}),
+    ("E12", "DT", "V2", True, 200, "bloques", {"impurity": ["gini"], "depth": [4, 7], "split": [100, 500, 2000], "leaf": [50, 200]}),
     ("E13", "HGB", "V2", True, 200, "bloques", _HGB_GRID),
     ("E14", "HGB", "V2", False, 200, "bloques", _HGB_GRID),
     ("E15", "RF", "V2", False, 200, "bloques", _RF_GRID),
@@ -90,7 +91,8 @@ def classifier(model: str, setting: Mapping, weight_total: float, seed: int = 42
         return LeafwiseBoosting(setting.get("rounds", 200), setting.get("rate", 0.1), setting.get("leaves", 31), setting.get("leaf", 20))
     tree = {"maxDepth": setting.get("depth", 5), "minInstancesPerNode": setting.get("leaf", 50), "seed": seed, "maxBins": 64}
     if model == "DT":
-        return DecisionTreeClassifier(**shared, **tree, impurity=setting.get("impurity", "gini"))
+        plain = DecisionTreeClassifier(**shared, **tree, impurity=setting.get("impurity", "gini"))
+        return PruningTree(plain, setting.get("alpha", 0.0), setting.get("split", 2)) if {"alpha", "split"} & {*setting} else plain
     if model == "RF":
         return RandomForestClassifier(**shared, **tree, numTrees=setting.get("trees", 300), featureSubsetStrategy="sqrt")
     if model == "GBT":
