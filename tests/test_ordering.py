@@ -131,6 +131,13 @@ def test_values_at_places_equal_sorting(spark, few):
     assert found == {g: (len(v), min(v), sorted(v)[len(v) // 2], max(v), None, None) for g, v in held.items()}
 
 
+def test_values_of_a_small_group_beside_a_large_one(spark):
+    """Only the large group needs another histogram; the values of the small one are counted all the same."""
+    rows = [("large", float(i)) for i in range(200)] + [("small", x) for x in (117.0, 118.0, 120.0, 120.0, 120.0)]
+    got = values_at(spark.createDataFrame(rows, "g string, score double"), F.col("score"), {"mid": F.floor(F.col("n") / 2)}, ["g"], few=50)
+    assert {r["g"]: r["mid"] for r in got.collect()} == {"large": 100.0, "small": 120.0}
+
+
 def test_values_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "g string, id long, score double")
     assert values_at(empty, F.col("score"), {"x": F.lit(0)}).count() == 0
