@@ -118,3 +118,28 @@ def test_cutoff_reaches_the_scan(spark, plan_of, tmp_path):
     plan = plan_of(features.contract_profile(spark.read.parquet(str(tmp_path / "o")), "2025-06-30"))
     assert "LessThanOrEqual(issue_date,2025-06-30)" in plan
     assert "CartesianProduct" not in plan and "Python" not in plan
+
+
+def _orders_of_few_buyers(spark):
+    rows = [
+        (i, f"{i % 7}", f"{i % 7 % 3 * 1000 + i % 4}", float(i * 37 % 101) - 20, "Anulada" if i % 9 == 0 else None, f"2025-0{i % 6 + 1}-10")
+        for i in range(200)
+    ]
+    rows += [(200 + i, "99", "1", float(i), None, "2025-01-01") for i in range(60)]
+    return spark.createDataFrame(rows, "o long, contractor_id string, buyer_id string, amount double, order_status string, d string").withColumn("issue_date", F.to_date("d"))
+
+
+def test_profile_sends_every_fact_to_its_entity_once(spark, plan_of):
+    """One exchange of the facts, whatever the number of cut-offs; the feed behind them is not read again."""
+    cutoffs = [("202503", "2025-03-31"), ("202506", "2025-06-30")]
+    plan = plan_of(features.contract_profiles(_orders_of_few_buyers(spark), cutoffs))
+    assert plan.count("Exchange") == 1 and plan.count("Scan parquet") == 1
+
+
+def test_profile_of_large_entities_equals_that_of_usual_ones(spark):
+    cutoffs = [("202503", "2025-03-31"), ("202506", "2025-06-30")]
+    whole, mixed, spread = (features.contract_profiles(_orders_of_few_buyers(spark), cutoffs, most) for most in (1000, 30, 0))
+    shown = lambda df: sorted(map(repr, df.select(*sorted(whole.columns)).collect()))
+    assert shown(whole) == shown(mixed) == shown(spread)
+    first = whole.filter("entity_id = 99 and ref_month = '202503'").first()
+    assert (first["n_orders"], first["n_buyers"], first["median_amount"], first["total_amount"], first["top_buyer_share"]) == (60, 1, 29.0, 1770.0, 1.0)
