@@ -14,6 +14,10 @@ is looked up as well, and points to the first document that holds all of it. A r
 has only shared seeds away from its edges; runs with another seed there are left out beforehand,
 which loses none.
 
+An edited passage has no run of that length. Where two near seeds of a document do not stand near
+each other in the first document of both, the two count as one seed with a first document of its own
+(a crossing), and links from crossings outside the passages found so far are aligned in a second round.
+
 Defined cases: null, empty and short texts hold no passage; rows that share an id are one
 document; rows without id are ignored; repeats inside a document do not count, nor does a run of
 one repeated word, which has no inner order to chain; an empty table
@@ -27,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakerisk.llm import text
@@ -41,6 +45,12 @@ GAP_COST = 0.05
 WIDEST_GAP = 32
 FLANK = 64
 EDIT, DROP = 3, 12
+# Shared seeds ahead that a seed is crossed with.
+REACH = 4
+# Extensions up to this many words are taken side by side, this many at a time.
+WIDE, EXTENTS = 2 * FLANK, 2048
+# Bytes of a word's hash that are stored for the alignment of two texts.
+WORD_BYTES = 6
 
 
 def _slide(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -100,6 +110,28 @@ def whole_runs(words: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.nd
     return hashes[at], at
 
 
+def text_minimisers(words: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """n-gram hashes and the places of the minimisers of texts whose words follow each other.
+
+    Text i has the words from places[i] to places[i + 1]; no window goes beyond its text, and texts
+    too short for a passage have none.
+    """
+    grams = text.gram_hashes(words, SEED_WORDS)
+    if len(grams) < WINDOW:
+        return grams, np.zeros(0, np.int64)
+    long = np.diff(places) >= LEAST_WORDS * LEAST_SIMILARITY
+    begins, ends = places[:-1][long], places[1:][long] - (SEED_WORDS + WINDOW - 2)
+    edge = np.bincount(begins, minlength=len(words) + 1) - np.bincount(ends, minlength=len(words) + 1)
+    lowest = _slide(grams, WINDOW, np.minimum)
+    lowest[np.cumsum(edge)[: len(lowest)] == 0] = 0
+    zero = np.zeros(WINDOW - 1, np.uint64)
+    reach = _slide(np.concatenate([zero, lowest, zero]), WINDOW, np.maximum)
+    chosen = (reach == grams) & (reach > 0)
+    again = np.concatenate([[False], grams[1:] == grams[:-1]])
+    again[begins] = False
+    return grams, np.flatnonzero(chosen & ~again)
+
+
 def seeds(docs: DataFrame) -> DataFrame:
     """(seed, id, at): the minimisers of every whole text."""
 
@@ -107,17 +139,10 @@ def seeds(docs: DataFrame) -> DataFrame:
         for whole in batches:
             for batch in text.groups(whole):
                 words, _, _, places = text.word_hashes(*_lowered(batch))
-                ids, found, owner, at = batch.column("id").to_numpy(), [], [], []
-                for i, (a, b) in enumerate(zip(places[:-1], places[1:])):
-                    if b - a >= LEAST_WORDS * LEAST_SIMILARITY:
-                        grams = text.gram_hashes(words[a:b], SEED_WORDS)
-                        chosen = minimisers(grams)
-                        found.append(grams[chosen].view(np.int64))
-                        at.append(chosen)
-                        owner.append(np.full(len(chosen), ids[i]))
-                if found:
-                    columns = [np.concatenate(found), np.concatenate(owner), np.concatenate(at).astype(np.int32)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["seed", "id", "at"])
+                grams, at = text_minimisers(words, places)
+                owner = np.searchsorted(places, at, "right") - 1
+                columns = [grams[at].view(np.int64), batch.column("id").to_numpy()[owner], (at - places[owner]).astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["seed", "id", "at"])
 
     return _identified(docs).mapInArrow(run, "seed long, id long, at int")
 
@@ -169,37 +194,72 @@ def chain(b: np.ndarray, a: np.ndarray) -> list[np.ndarray]:
 
 
 def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["id", "other", "b", "a"]
+    """(id, other, b, a): the chains of two or more places that each document has with one other."""
     for batch in batches:
+        column = batch.column("shared")
+        held, row = column.flatten(), np.repeat(np.arange(batch.num_rows), np.diff(column.offsets.to_numpy()))
+        b, other, a = (held.field(c).to_numpy().astype(np.int64) for c in ("at", "other", "other_at"))
+        ids = batch.column("id").to_numpy()[row]
+        order = np.lexsort((a, b, other, row))
+        order = order[ids[order] != other[order]]
+        row, ids, other, b, a = (c[order] for c in (row, ids, other, b, a))
+        if not len(b):
+            continue
+        joined = (row[1:] == row[:-1]) & (other[1:] == other[:-1])
+        fresh = np.concatenate([[True], ~(joined & (b[1:] == b[:-1]) & (a[1:] == a[:-1]))])
+        first = np.concatenate([[True], ~joined])[fresh]
+        ids, other, b, a = (c[fresh] for c in (ids, other, b, a))
+        begins = np.flatnonzero(first)
+        sizes = np.diff(np.append(begins, len(b)))
+        steps = first[1:] | (np.diff(b) > 0) & (np.diff(a) > 0) & (np.diff(b) <= WIDEST_GAP) & (np.diff(a) <= WIDEST_GAP)
+        # Places that ascend by narrow steps are one chain; two that do not are none.
+        straight = np.bincount((np.cumsum(first) - 1)[1:][~steps], minlength=len(begins)) == 0
+        whole = straight & (sizes > 1)
+        taken = np.repeat(whole, sizes)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes[whole])]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(c[taken].astype(np.int32))) for c in (b, a)]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[begins[whole]]), pa.array(other[begins[whole]]), *lists], names=["id", "other", "b", "a"])
         out: list[tuple] = []
-        for ident, other, b, a in zip(*(batch.column(c).to_pylist() for c in names)):
-            b, a = np.array(b), np.array(a)
-            for members in chain(b, a):
+        for i in np.flatnonzero(~straight & (sizes > 2)).tolist():
+            k = begins[i]
+            x, y = b[k : k + sizes[i]], a[k : k + sizes[i]]
+            for members in chain(x, y):
                 if len(members) > 1:
-                    out.append((ident, other, b[members].tolist(), a[members].tolist()))
+                    out.append((ids[k], other[k], x[members].tolist(), y[members].tolist()))
         columns = list(zip(*out)) if out else [[]] * 4
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "other", "b", "a"])
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word hashes of the asked piece of each text, or its whole runs where `held` lists its shared
-    seeds; rows of one text follow each other."""
-    last: tuple[str | None, np.ndarray] = (None, np.zeros(0, np.uint64))
+    seeds; rows of one text (`row`) follow each other."""
     for whole in batches:
         for batch in text.groups(whole):
-            out = []
-            for value, low, high, held in zip(*(batch.column(c).to_pylist() for c in ("text", "low", "high", "held"))):
-                if value != last[0]:
-                    raw = np.frombuffer((value or "").encode(), np.uint8)
-                    last = (value, text.word_hashes(text.lower(raw), np.array([0, len(raw)]))[0])
-                if held is None:
-                    out.append(last[1][low:high].tobytes())
-                else:
-                    hashes, at = whole_runs(last[1], np.array(held))
-                    out.append(hashes.tobytes() + at.astype(np.int32).tobytes())
-            keys = [batch.column(c) for c in ("link", "side", "low")]
-            yield pa.RecordBatch.from_arrays([*keys, pa.array(out, pa.binary())], names=["link", "side", "low", "words"])
+            row = batch.column("row").to_numpy()
+            first = np.concatenate([[True], row[1:] != row[:-1]])
+            words, _, _, places = text.word_hashes(*_lowered(batch.filter(pa.array(first))))
+            owner = np.cumsum(first) - 1
+            asked = batch.column("held").is_null().to_numpy(zero_copy_only=False)
+            low, high = (np.minimum(places[owner] + batch.column(c).to_numpy(), places[owner + 1])[asked] for c in ("low", "high"))
+            ends = np.concatenate([[0], np.cumsum(high - low)])
+            taken = words[np.arange(ends[-1]) + np.repeat(low - ends[:-1], high - low)]
+            short = np.ascontiguousarray(taken.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES])
+            held = [pa.py_buffer((WORD_BYTES * ends).astype(np.int32).tobytes()), pa.py_buffer(short.tobytes())]
+            yield _keyed(batch.filter(pa.array(asked)), pa.Array.from_buffers(pa.binary(), len(low), [None, *held]))
+            if not asked.all():
+                batch, owner = batch.filter(pa.array(~asked)), owner[~asked]
+                column = batch.column("held")
+                hashes, at = whole_runs(words, column.flatten().to_numpy() + np.repeat(places[owner], np.diff(column.offsets.to_numpy())))
+                within = np.searchsorted(places, at, "right") - 1
+                inside = at + LEAST_WORDS <= places[within + 1]
+                hashes, at, within = hashes[inside], (at - places[within])[inside].astype(np.int32), within[inside]
+                ranges = zip(np.searchsorted(within, owner).tolist(), np.searchsorted(within, owner, "right").tolist())
+                yield _keyed(batch, pa.array([hashes[x:y].tobytes() + at[x:y].tobytes() for x, y in ranges], pa.binary()))
+
+
+def _keyed(batch: pa.RecordBatch, words: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("link", "side", "low")), words], names=["link", "side", "low", "words"])
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,6 +316,65 @@ def _extent(x: np.ndarray, y: np.ndarray, cost: float = EDIT) -> tuple[int, int,
     return reached
 
 
+def _extents(x: list[np.ndarray], y: list[np.ndarray], cost: int) -> list[tuple[int, int, int]]:
+    """`_extent` of many pairs; the tables of usual ones are filled side by side."""
+    out: list = [None] * len(x)
+    usual = []
+    for i, (v, w) in enumerate(zip(x, y)):
+        if max(len(v), len(w)) > WIDE:
+            out[i] = _extent(v, w, cost)
+        else:
+            usual.append(i)
+    usual.sort(key=lambda i: len(y[i]))
+    for at in range(0, len(usual), EXTENTS):
+        some = usual[at : at + EXTENTS]
+        for i, found in zip(some, _side_by_side([x[i] for i in some], [y[i] for i in some], cost)):
+            out[i] = found
+    return out
+
+
+def _padded(values: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.array([len(v) for v in values])
+    table = np.zeros((len(values), width), np.uint64)
+    table[np.arange(width) < sizes[:, None]] = np.concatenate(values)
+    return table, sizes
+
+
+def _side_by_side(x: list[np.ndarray], y: list[np.ndarray], cost: int) -> list[tuple[int, int, int]]:
+    width = max(max(map(len, x)), max(map(len, y)))
+    (x, nx), (y, ny) = _padded(x, width), _padded(y, width)
+    lane = np.arange(width + 1)
+    differs = np.column_stack([x != y, np.ones(len(x), bool)]) | (lane >= np.minimum(nx, ny)[:, None])
+    same = differs.argmax(axis=1)
+    shifted = np.minimum(lane[:-1] + same[:, None], width - 1)
+    x, y, nx, ny = np.take_along_axis(x, shifted, 1), np.take_along_axis(y, shifted, 1), nx - same, ny - same
+    reached = np.column_stack([same, same, np.zeros_like(same)])
+    best, lane = np.zeros(len(x), np.int32), lane.astype(np.int32)
+    live = np.flatnonzero(nx > 0)
+    # Scores are doubled, which keeps them whole.
+    row = np.repeat(lane[None], len(live), axis=0)
+    outside = np.where(lane > ny[live, None], np.int32(1 << 20), np.int32(0))
+    for i in range(width):
+        if not len(live):
+            break
+        step = np.empty_like(row)
+        step[:, 0] = row[:, 0] + 1
+        np.minimum(row[:, :-1] + (y[live] != x[live, i][:, None]), row[:, 1:] + 1, out=step[:, 1:])
+        row = np.minimum.accumulate(step - lane, axis=1) + lane
+        score = lane + (i + 1) - 2 * cost * row - outside
+        k = score.argmax(axis=1)
+        at = np.arange(len(live))
+        top = score[at, k]
+        more = top > best[live]
+        to = live[more]
+        best[to] = top[more]
+        reached[to] = np.column_stack([same[to] + i + 1, same[to] + k[more], row[at, k][more]])
+        stays = (more | (top >= best[live] - 2 * DROP)) & (nx[live] > i + 1)
+        if not stays.all():
+            live, row, outside = live[stays], row[stays], outside[stays]
+    return list(map(tuple, reached.tolist()))
+
+
 def _next_row(row: np.ndarray, word: np.uint64, y: np.ndarray, lane: np.ndarray) -> np.ndarray:
     """The next row of the table of edit distances, one more word on its side."""
     step = np.empty_like(row)
@@ -266,6 +385,8 @@ def _next_row(row: np.ndarray, word: np.uint64, y: np.ndarray, lane: np.ndarray)
 
 def _edits(x: np.ndarray, y: np.ndarray) -> int:
     """Edit distance of two short word runs (a gap between seeds)."""
+    if not len(x) or not len(y):
+        return max(len(x), len(y))
     if len(x) == len(y) and (x == y).all():
         return 0
     lane = np.arange(len(y) + 1)
@@ -277,20 +398,32 @@ def _edits(x: np.ndarray, y: np.ndarray) -> int:
 
 def align(b_words: np.ndarray, b_low: int, a_words: np.ndarray, a_low: int, b: np.ndarray, a: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(start, length, other start, other length, edits) of the passages around a chain."""
-    b, a = (b - b_low).tolist(), (a - a_low).tolist()
+    found = _extended([(b_words, a_words, *part) for part in _parts(b_words, a_words, (b - b_low).tolist(), (a - a_low).tolist())])
+    return [(start + b_low, n, other + a_low, m, edits) for start, n, other, m, edits in found]
+
+
+def _parts(b_words: np.ndarray, a_words: np.ndarray, b: list[int], a: list[int]) -> list[tuple[int, int, int, int, int]]:
+    """(b, a, end of b, end of a, edits) of the parts of a chain that win words."""
     first, reached, links = [0], (b[0] + SEED_WORDS, a[0] + SEED_WORDS), [(0.0, 0)]
     for k in range(1, len(b)):
         skip = max(0, reached[0] - b[k], reached[1] - a[k])  # seeds may overlap
         if skip < SEED_WORDS:
-            edits = _edits(b_words[reached[0] : b[k] + skip], a_words[reached[1] : a[k] + skip])
+            x, y = b_words[reached[0] : b[k] + skip], a_words[reached[1] : a[k] + skip]
             gained = (b[k] - reached[0] + a[k] - reached[1]) / 2 + SEED_WORDS
+            if len(b) == 2 and gained <= EDIT * (max(len(x), len(y)) - len(set(x.tolist()) & set(y.tolist())) - _repeats(x)):
+                return []  # even if all words of both were in the same order
+            edits = _edits(x, y)
             links.append((gained - EDIT * edits, edits))
             first.append(k)
             reached = (b[k] + SEED_WORDS, a[k] + SEED_WORDS)
-    return [_extended(b_words, b_low, a_words, a_low, b[first[i]], a[first[i]], b[first[j]], a[first[j]], sum(e for _, e in links[i + 1 : j + 1]))
+    return [(b[first[i]], a[first[i]], b[first[j]] + SEED_WORDS, a[first[j]] + SEED_WORDS, sum(e for _, e in links[i + 1 : j + 1]))
             for i, j in _best_parts([w for w, _ in links], 0, len(links))]
 
 
+def _repeats(x: np.ndarray) -> int:
+    return len(x) - len(set(x.tolist()))
+
+
 def _best_parts(weights: list[float], low: int, high: int) -> list[tuple[int, int]]:
     """First and last seed of the part that wins most, and likewise of what is left on both sides."""
     out, asked = [], [(low, high)]
@@ -307,30 +440,46 @@ def _best_parts(weights: list[float], low: int, high: int) -> list[tuple[int, in
     return out
 
 
-def _extended(b_words, b_low, a_words, a_low, b, a, b_last, a_last, edits) -> tuple[int, int, int, int, int]:
-    b_last, a_last = b_last + SEED_WORDS, a_last + SEED_WORDS
-    found = []
+def _extended(parts: list[tuple]) -> list[tuple[int, int, int, int, int]]:
+    """(start, length, other start, other length, edits) of each part (words, other words, b, a, ends, edits), extended at both ends."""
+    found: list[list] = [[] for _ in parts]
+    out: list = [None] * len(parts)
     for cost in (EDIT, EDIT - 1):  # the second for what has its edits near the ends
-        left = _extent(b_words[:b][::-1], a_words[:a][::-1], cost)
-        right = _extent(b_words[b_last:], a_words[a_last:], cost)
-        for x, y in ((left, right), (left, (0, 0, 0)), ((0, 0, 0), right)):
-            n, m = b_last + y[0] - b + x[0], a_last + y[1] - a + x[1]
-            found.append((b - x[0] + b_low, n, a - x[1] + a_low, m, edits + x[2] + y[2]))
-        like = [f for f in found if 1 - f[4] / max(f[1], f[3]) >= LEAST_SIMILARITY]
-        if like and max(f[1] for f in like) >= LEAST_WORDS:
+        asked = [i for i in range(len(parts)) if out[i] is None]
+        if not asked:
             break
-    return max(like or found, key=lambda f: f[1])
+        lefts = [(parts[i][0][: parts[i][2]][::-1], parts[i][1][: parts[i][3]][::-1]) for i in asked]
+        rights = [(parts[i][0][parts[i][4] :], parts[i][1][parts[i][5] :]) for i in asked]
+        ends = _extents([x for x, _ in lefts + rights], [y for _, y in lefts + rights], cost)
+        for i, left, right in zip(asked, ends[: len(asked)], ends[len(asked) :]):
+            _, _, b, a, b_last, a_last, edits = parts[i]
+            for x, y in ((left, right), (left, (0, 0, 0)), ((0, 0, 0), right)):
+                n, m = b_last + y[0] - b + x[0], a_last + y[1] - a + x[1]
+                found[i].append((b - x[0], n, a - x[1], m, edits + x[2] + y[2]))
+            like = [f for f in found[i] if 1 - f[4] / max(f[1], f[3]) >= LEAST_SIMILARITY]
+            if cost != EDIT or like and max(f[1] for f in like) >= LEAST_WORDS:
+                out[i] = max(like or found[i], key=lambda f: f[1])
+    return out
+
+
+def _widened(packed: bytes) -> np.ndarray:
+    words = np.zeros((len(packed) // WORD_BYTES, 8), np.uint8)
+    words[:, :WORD_BYTES] = np.frombuffer(packed, np.uint8).reshape(-1, WORD_BYTES)
+    return words.view(np.uint64)[:, 0]
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["id", "start", "n_words", "other", "other_start", "other_words", "edits"]
     for batch in batches:
-        out = []
+        parts, owners, out = [], [], []
         for r in batch.to_pylist():
-            words = [np.frombuffer(r[c], np.uint64) for c in ("b_words", "a_words")]
-            for start, n, other, m, edits in align(words[0], r["b_low"], words[1], r["a_low"], np.array(r["b"]), np.array(r["a"])):
-                if n >= LEAST_WORDS and 1 - edits / max(n, m) >= LEAST_SIMILARITY:
-                    out.append((r["id"], start, n, r["other"], other, m, edits))
+            words = [_widened(r[c]) for c in ("b_words", "a_words")]
+            for part in _parts(*words, [k - r["b_low"] for k in r["b"]], [k - r["a_low"] for k in r["a"]]):
+                parts.append((*words, *part))
+                owners.append((r["id"], r["other"], r["b_low"], r["a_low"]))
+        for (ident, other, b_low, a_low), (start, n, other_start, m, edits) in zip(owners, _extended(parts)):
+            if n >= LEAST_WORDS and 1 - edits / max(n, m) >= LEAST_SIMILARITY:
+                out.append((ident, start + b_low, n, other, other_start + a_low, m, edits))
         columns = list(zip(*out)) if out else [[]] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
@@ -339,9 +488,78 @@ PASSAGE = "id long, start long, n_words long, other long, other_start long, othe
 
 
 def _first_holders(found: DataFrame) -> DataFrame:
-    """(seed, other, other_at): the first place of every seed that two documents have."""
-    placed = found.groupBy("seed").agg(F.min(F.struct("id", "at")).alias("first"), F.max("id").alias("last"))
-    return placed.filter("first.id < last").select("seed", F.col("first.id").alias("other"), F.col("first.at").alias("other_at"))
+    """(seed, id, at, other, other_at): the places of every seed that two documents have, with its first one."""
+    kind = found.schema["at"].dataType.simpleString()
+    near = found.repartition("seed").sortWithinPartitions("seed", "id", "at")
+    return near.mapInArrow(_met, f"seed long, id long, at {kind}, other long, other_at {kind}")
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in order of seed, id and place: those whose seed two documents have, with its first place.
+
+    Rows of the first document wait for a second one; a seed that goes on in the next batch keeps its first place.
+    """
+    wait: list[np.ndarray] | None = None  # rows of the last seed, which no second document has so far
+    first: tuple | None = None  # the last seed and its first place, once two documents have it
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [batch.column(c).to_numpy() for c in ("seed", "id", "at")]
+        if wait is not None:
+            rows = [np.concatenate(pair) for pair in zip(wait, rows)]
+        seed, ident, at = rows
+        begins = np.concatenate([[0], np.flatnonzero(seed[1:] != seed[:-1]) + 1])
+        ends = np.append(begins[1:], len(seed))
+        others, others_at = ident[begins].copy(), at[begins].copy()
+        met = others != ident[ends - 1]
+        if first is not None and first[0] == seed[0]:
+            others[0], others_at[0], met[0] = first[1], first[2], True
+        first = (seed[-1], others[-1], others_at[-1]) if met[-1] else None
+        wait = None if met[-1] else [c[begins[-1] :] for c in rows]
+        sizes = ends - begins
+        taken = np.repeat(met, sizes)
+        columns = [c[taken] for c in rows] + [np.repeat(c[met], sizes[met]) for c in (others, others_at)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["seed", "id", "at", "other", "other_at"])
+
+
+def _crossings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(seed, id, at): two shared seeds of a document that stand near each other there but not in the first
+    document of both, as one seed; `at` is the place of the first, times 64, and the way to the second."""
+    for batch in batches:
+        column = batch.column("shared")
+        sizes = np.diff(column.offsets.to_numpy())
+        row, held = np.repeat(np.arange(len(sizes)), sizes), column.flatten()
+        at, seed, other, other_at = (held.field(i).to_numpy() for i in range(4))
+        order = np.lexsort((seed, at, row))
+        row, at, seed, other, other_at = (c[order] for c in (row, at.astype(np.int64), seed.view(np.uint64), other, other_at.astype(np.int64)))
+        for k in range(1, REACH + 1):
+            way, back = at[k:] - at[:-k], other_at[k:] - other_at[:-k]
+            near = (row[k:] == row[:-k]) & (way > 0) & (way <= WIDEST_GAP)
+            near &= seed[k:] != seed[:-k]
+            i = np.flatnonzero(near & ~((other[k:] == other[:-k]) & (back > 0) & (back <= WIDEST_GAP)))
+            both = text.mix(seed[i] + text.mix(seed[i + k])).view(np.int64)
+            columns = [both, batch.column("id").to_numpy()[row[i]], at[i] * 64 + way[i]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["seed", "id", "at"])
+
+
+def _crossed(shared: DataFrame, known: DataFrame) -> DataFrame:
+    """(id, other, at, other_at): both places of the crossings that an earlier document has as well and that
+    no passage of `known` holds."""
+    met = _first_holders(shared.mapInArrow(_crossings, "seed long, id long, at long")).filter("id <> other")
+    ends = [F.struct(*[(F.shiftright(c, 6) + way * F.col(c).bitwiseAND(63)).cast("int").alias(c) for c in ("at", "other_at")]) for way in (0, 1)]
+    begin, end = F.shiftright("at", 6), F.shiftright("at", 6) + F.col("at").bitwiseAND(63) + SEED_WORDS
+    return _unknown(met, known, begin, end).select("id", "other", F.inline(F.array(*ends)))
+
+
+def _unknown(rows: DataFrame, known: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Rows (id, ...) whose words from `start` to `end` are not all in one passage of `known`."""
+    spans = known.groupBy("id").agg(F.collect_set(F.struct("start", (F.col("start") + F.col("n_words")).alias("end"))).alias("known"))
+    inside = F.exists("known", lambda k: (k["start"] <= start) & (k["end"] >= end))
+    return rows.join(spans, "id", "left").filter(F.col("known").isNull() | ~inside).drop("known")
+
+
+def _by_document(matches: DataFrame, *columns: str) -> DataFrame:
+    return matches.groupBy("id").agg(F.collect_list(F.struct(*columns)).alias("shared"))
 
 
 def _paired(matches: DataFrame) -> DataFrame:
@@ -350,44 +568,52 @@ def _paired(matches: DataFrame) -> DataFrame:
     return listed.select("id", "other", F.col("m.at").alias("b"), F.col("m.other_at").alias("a"))
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
-    """(id, start, n_words, other, other_start, other_words, edits): passages, in words, that an
-    earlier document (`other`) of `docs` (doc_id, text) holds as well."""
-    # Seeds are made twice and not stored: only those of two documents take room.
-    found = seeds(docs)
-    anchors = stage_table(_first_holders(found), "anchors")
-    matches = stage_table(found.join(anchors, "seed").drop("seed"), "matches")
-    drop_staged(anchors)
-    listed = _paired(matches).filter(F.size("b") > 1)
+def _chained(shared: DataFrame) -> DataFrame:
     link = F.struct("id", "other", F.element_at("b", 1), F.element_at("a", 1))
-    chained = stage_table(
-        listed.mapInArrow(_chains, "id long, other long, b array<int>, a array<int>").distinct().withColumn("link", F.xxhash64(link)), "chains"
-    )
-    held = stage_table(matches.groupBy("id").agg(F.collect_set("at").alias("held")), "held")
-    drop_staged(matches)
+    chains = shared.mapInArrow(_chains, "id long, other long, b array<int>, a array<int>")
+    return stage_table(chains.withColumn("link", F.xxhash64(link)), "chains")
+
+
+def _asked(docs: DataFrame, chained: DataFrame, held: DataFrame | None = None) -> DataFrame:
+    """(link, side, low, words): the words around both ends of every chain; with `held` the whole runs of its texts too."""
 
     def asked(side: str, ident: str, places: str) -> DataFrame:
         low = F.greatest(F.element_at(places, 1) - FLANK, F.lit(0))
         high = F.element_at(places, -1) + FLANK + SEED_WORDS
         return chained.select(F.col(ident).alias("id"), "link", F.lit(side).alias("side"), low.alias("low"), high.alias("high"), F.lit(None).cast("array<int>").alias("held"))
 
-    runs_of = held.select("id", F.col("id").alias("link"), F.lit("run").alias("side"), F.lit(0).alias("low"), F.lit(0).alias("high"), "held")
-    wanted = stage_table(asked("b", "id", "b").union(asked("a", "other", "a")).union(runs_of), "wanted")
-    drop_staged(held)
+    wanted = asked("b", "id", "b").union(asked("a", "other", "a"))
+    if held is not None:
+        wanted = wanted.union(held.select("id", F.col("id").alias("link"), F.lit("run").alias("side"), F.lit(0).alias("low"), F.lit(0).alias("high"), "held"))
     # The merge hint keeps one plan at every size, and puts the rows of one text side by side.
-    pieces = stage_table(_identified(docs).join(wanted.hint("merge"), "id").mapInArrow(_pieces, "link long, side string, low int, words binary"), "pieces")
-    drop_staged(wanted)
+    numbered = _identified(docs).withColumn("row", F.monotonically_increasing_id())
+    return stage_table(numbered.join(wanted.hint("merge"), "id").mapInArrow(_pieces, "link long, side string, low int, words binary"), "pieces")
+
+
+def _passages(chained: DataFrame, pieces: DataFrame) -> DataFrame:
     side = lambda s: pieces.filter(F.col("side") == s).select("link", F.col("low").alias(f"{s}_low"), F.col("words").alias(f"{s}_words"))
     both = chained.join(side("b"), "link").join(side("a"), "link").drop("link")
-    aligned = stage_table(both.mapInArrow(_aligned, PASSAGE), "aligned")
+    return stage_table(both.mapInArrow(_aligned, PASSAGE), "aligned")
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """(id, start, n_words, other, other_start, other_words, edits): passages, in words, that an
+    earlier document (`other`) of `docs` (doc_id, text) holds as well."""
+    shared = stage_table(_by_document(_first_holders(seeds(docs)), "at", "seed", "other", "other_at"), "shared")
+    chained = _chained(shared)
+    pieces = _asked(docs, chained, shared.select("id", F.col("shared.at").alias("held")))
+    aligned = _passages(chained, pieces)
     runs = pieces.filter("side = 'run'").mapInArrow(_unpacked, "seed long, id long, at int")
-    holders = stage_table(_first_holders(runs), "holders")
-    exact = _paired(runs.join(holders, "seed")).mapInArrow(_runs, PASSAGE)
-    known = aligned.groupBy("id").agg(F.collect_set(F.struct("start", (F.col("start") + F.col("n_words")).alias("end"))).alias("known"))
-    inside = F.exists("known", lambda k: (k["start"] <= F.col("start")) & (k["end"] >= F.col("start") + F.col("n_words")))
-    added = exact.join(known, "id", "left").filter(F.col("known").isNull() | ~inside).drop("known")
-    repeats = stage_table(aligned.union(added), "repeats")
-    drop_staged(chained, pieces, aligned, holders)
+    exact = _paired(_first_holders(runs)).mapInArrow(_runs, PASSAGE)
+    end = F.col("start") + F.col("n_words")
+    found = stage_table(aligned.union(_unknown(exact, aligned, F.col("start"), end)), "found")
+    drop_staged(chained, pieces, aligned)
+    chained = _chained(_by_document(_crossed(shared, found), "at", "other", "other_at"))
+    drop_staged(shared)
+    pieces = _asked(docs, chained)
+    aligned = _passages(chained, pieces)
+    repeats = stage_table(found.union(_unknown(aligned, found, F.col("start"), end)), "repeats")
+    drop_staged(chained, pieces, aligned, found)
     return repeats
 
 

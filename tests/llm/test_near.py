@@ -143,6 +143,50 @@ def test_edited_passages_are_found(documents):
     assert got <= wanted and len(got) >= 19
 
 
+def test_edited_passages_whose_parts_stand_in_earlier_documents(documents):
+    rows, wanted = [], set()
+    for k in range(12):
+        one, two, draw = prose(900 + k, 32), prose(930 + k, 32), random.Random(k)
+        edited = [f"n{k}x{i}" if i % 9 == draw.randrange(9) else w for i, w in enumerate(one + two)]
+        texts = [prose(960 + k, 30) + one, two + prose(990 + k, 30), prose(1020 + k, 20) + one + two, edited + prose(1050 + k, 20)]
+        rows += [(4 * k + i, " ".join(words)) for i, words in enumerate(texts)]
+        wanted.add((4 * k + 3, 4 * k + 2))
+    got = {(r["id"], r["other"]) for r in passages.repeated_passages(documents(rows)).collect()}
+    assert got == wanted
+
+
+def test_extensions_side_by_side_equal_those_of_one_pair():
+    draw = np.random.default_rng(8)
+    pairs = []
+    for _ in range(300):
+        x = draw.integers(0, 40, draw.integers(0, 70)).astype(np.uint64)
+        y = np.delete(x, draw.integers(0, max(len(x), 1), 4) % max(len(x), 1)) if len(x) else x
+        y = np.where(draw.random(len(y)) < draw.random() / 3, 99, y).astype(np.uint64)
+        pairs.append((x, np.concatenate([y, draw.integers(0, 40, draw.integers(0, 30)).astype(np.uint64)])))
+    for cost in (2, 3):
+        assert passages._extents([x for x, _ in pairs], [y for _, y in pairs], cost) == [passages._extent(x, y, cost) for x, y in pairs]
+
+
+def test_minimisers_of_many_texts_equal_those_of_each():
+    draw = np.random.default_rng(9)
+    texts = [draw.integers(0, 3 if k % 2 else 1 << 60, n).astype(np.uint64) for k, n in enumerate((60, 39, 0, 41, 40, 200, 3, 90))]
+    texts[0][-5:] = texts[3][:5] = 7
+    places = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+    grams, at = passages.text_minimisers(np.concatenate(texts), places)
+    want = [p + i for p, x in zip(places, texts) if len(x) >= 40 for i in passages.minimisers(passages.text.gram_hashes(x, 4)).tolist()]
+    assert at.tolist() == want
+
+
+def test_first_holders_of_seeds_over_many_batches():
+    draw = random.Random(2)
+    rows = sorted((draw.randrange(25) ** 2, draw.randrange(6), k) for k in range(200))
+    for size in (1, 3, 50, 200):
+        batches = [passages.pa.RecordBatch.from_pylist([dict(zip(("seed", "id", "at"), r)) for r in rows[i : i + size]]) for i in range(0, 200, size)]
+        got = sorted(tuple(r.values()) for b in passages._met(iter(batches)) for r in b.to_pylist())
+        held = {s: [r[1:] for r in rows if r[0] == s] for s, _, _ in rows}
+        assert got == sorted((s, i, k, *held[s][0]) for s, i, k in rows if len({x for x, _ in held[s]}) > 1)
+
+
 def test_a_chance_seed_beside_a_passage_does_not_spoil_it():
     draw = np.random.default_rng(6)
     x, y = (draw.integers(0, 1 << 60, 160).astype(np.uint64) for _ in range(2))
