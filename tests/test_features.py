@@ -143,3 +143,11 @@ def test_profile_of_large_entities_equals_that_of_usual_ones(spark):
     assert shown(whole) == shown(mixed) == shown(spread)
     first = whole.filter("entity_id = 99 and ref_month = '202503'").first()
     assert (first["n_orders"], first["n_buyers"], first["median_amount"], first["total_amount"], first["top_buyer_share"]) == (60, 1, 29.0, 1770.0, 1.0)
+
+
+def test_registry_history_sorts_no_rows(spark, plan_of):
+    rows = [(1, 2025, 1, " A ", "X"), (1, 2025, 2, "A", None), (1, 2025, 3, None, "Y "), (2, 2025, 3, "B", None)]
+    seen = spark.createDataFrame(rows, "entity_id long, year int, month int, status string, billing_mode string")
+    got = features.registry_history(seen, "202503")
+    assert "SortAggregate" not in plan_of(got)
+    assert {r["entity_id"]: (r["status_changed"], r["billing_changed"]) for r in got.collect()} == {1: (0, 1), 2: (0, 0)}
