@@ -349,17 +349,18 @@ def _side_by_side(x: list[np.ndarray], y: list[np.ndarray], cost: int) -> list[t
     shifted = np.minimum(lane[:-1] + same[:, None], width - 1)
     x, y, nx, ny = np.take_along_axis(x, shifted, 1), np.take_along_axis(y, shifted, 1), nx - same, ny - same
     reached = np.column_stack([same, same, np.zeros_like(same)])
-    best, lane = np.zeros(len(x), np.int32), lane.astype(np.int32)
+    best, lane = np.zeros(len(x), np.int16), lane.astype(np.int16)
     live = np.flatnonzero(nx > 0)
+    x, y = x[live], y[live]
     # Scores are doubled, which keeps them whole.
     row = np.repeat(lane[None], len(live), axis=0)
-    outside = np.where(lane > ny[live, None], np.int32(1 << 20), np.int32(0))
+    outside = np.where(lane > ny[live, None], np.int16(1 << 14), np.int16(0))
     for i in range(width):
         if not len(live):
             break
         step = np.empty_like(row)
         step[:, 0] = row[:, 0] + 1
-        np.minimum(row[:, :-1] + (y[live] != x[live, i][:, None]), row[:, 1:] + 1, out=step[:, 1:])
+        np.minimum(row[:, :-1] + (y != x[:, i, None]), row[:, 1:] + 1, out=step[:, 1:])
         row = np.minimum.accumulate(step - lane, axis=1) + lane
         score = lane + (i + 1) - 2 * cost * row - outside
         k = score.argmax(axis=1)
@@ -371,7 +372,7 @@ def _side_by_side(x: list[np.ndarray], y: list[np.ndarray], cost: int) -> list[t
         reached[to] = np.column_stack([same[to] + i + 1, same[to] + k[more], row[at, k][more]])
         stays = (more | (top >= best[live] - 2 * DROP)) & (nx[live] > i + 1)
         if not stays.all():
-            live, row, outside = live[stays], row[stays], outside[stays]
+            live, row, outside, x, y = live[stays], row[stays], outside[stays], x[stays], y[stays]
     return list(map(tuple, reached.tolist()))
 
 
@@ -462,18 +463,27 @@ def _extended(parts: list[tuple]) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
-def _widened(packed: bytes) -> np.ndarray:
-    words = np.zeros((len(packed) // WORD_BYTES, 8), np.uint8)
-    words[:, :WORD_BYTES] = np.frombuffer(packed, np.uint8).reshape(-1, WORD_BYTES)
-    return words.view(np.uint64)[:, 0]
+def _widened(column: pa.Array) -> list[np.ndarray]:
+    """The stored word hashes of every row."""
+    _, where, held = column.buffers()
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    offsets = np.frombuffer(where, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    words = np.zeros(((offsets[-1] - offsets[0]) // WORD_BYTES, 8), np.uint8)
+    if len(words):
+        words[:, :WORD_BYTES] = np.frombuffer(held, np.uint8)[offsets[0] : offsets[-1]].reshape(-1, WORD_BYTES)
+    places = ((offsets - offsets[0]) // WORD_BYTES).tolist()
+    flat = words.view(np.uint64)[:, 0]
+    return [flat[x:y] for x, y in zip(places[:-1], places[1:])]
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["id", "start", "n_words", "other", "other_start", "other_words", "edits"]
     for batch in batches:
         parts, owners, out = [], [], []
-        for r in batch.to_pylist():
-            words = [_widened(r[c]) for c in ("b_words", "a_words")]
+        if not batch.num_rows:
+            continue
+        rows = batch.drop_columns(["b_words", "a_words"]).to_pylist()
+        for r, *words in zip(rows, *(_widened(batch.column(c)) for c in ("b_words", "a_words"))):
             for part in _parts(*words, [k - r["b_low"] for k in r["b"]], [k - r["a_low"] for k in r["a"]]):
                 parts.append((*words, *part))
                 owners.append((r["id"], r["other"], r["b_low"], r["a_low"]))
