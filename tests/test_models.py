@@ -147,3 +147,14 @@ def test_permutation_of_all_columns(rows):
     got = {r["feature"]: r for r in models.permutation_importance(fitted, rows).collect()}
     assert set(got) == {*fitted.prep.numeric, *fitted.prep.categorical}
     assert max(got, key=lambda c: got[c]["importance"]) == "total_amount" and got["total_amount"]["spread"] < 0.2
+
+
+def test_permutation_scores_only_columns_in_use(rows, monkeypatch):
+    """A column without a split is not shuffled and loses 0; what a split of an encoding stands on counts as in use."""
+    fitted = models.Learner("DT").fit_all(rows.filter(F.col("split") == "train"), [{"depth": 1, "leaf": 5}])[0]
+    asked, plain = [], models.permuted
+    monkeypatch.setattr(models, "permuted", lambda base, columns, *rest: asked.append(list(columns)) or plain(base, columns, *rest))
+    got = {r["feature"]: (r["importance"], r["spread"]) for r in models.permutation_importance(fitted, rows).collect()}
+    assert asked == [["total_amount"]] and models.used_columns(fitted) == {"total_amount"}
+    assert set(got) == {*fitted.prep.numeric, *fitted.prep.categorical} and got["total_amount"][0] > 0.2
+    assert {v for c, v in got.items() if c != "total_amount"} == {(0.0, 0.0)}
