@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lakerisk.config import LakePaths
 from lakerisk.operators.quality import QualityError
-from lakerisk.plans import jobs
+from lakerisk.plans import jobs, lake_queries
 from lakerisk.sources import schemas
 from lakerisk.sources.commits import Publication, latest, parts_table, read_table, vacuum
 from lakerisk.sources.readers import read_run_records
@@ -227,3 +227,15 @@ def test_training_refuses_a_cutoff_above_the_test_rows(spark, lake):
     with pytest.raises(ValueError, match="exceed"):
         jobs.train(spark, lake, "v1", "E6", "big", [{"depth": 2, "leaf": 2}], replicates=5)
     assert latest(spark, lake)["number"] == before
+
+
+def test_roundtrip_makes_the_feed_once(spark, tmp_path, monkeypatch):
+    """Every later job of the round trip scans what the first load wrote, not the tables behind the feed."""
+    rows = [(2001, m, n, float(n) if n else None, n) for m in (1, 2, 3, 4) for n in (0, 1, 2)]
+    spark.createDataFrame(rows, "year int, month int, line_no int, amount double, n int").write.parquet(f"{tmp_path}/feed")
+    scanned, stage = [], lake_queries.Publication.stage
+    monkeypatch.setattr(lake_queries, "bind", lambda s, d, name: s.read.parquet(f"{d}/{name}"))
+    monkeypatch.setattr(lake_queries.Publication, "stage", lambda self, layer, name, df, *a, **k: scanned.append(set(df.inputFiles())) or stage(self, layer, name, df, *a, **k))
+    got = {(r["year"], r["month"]): (r["rows"], r["committed_rows"], r["amount"]) for r in lake_queries.publish_roundtrip(spark, str(tmp_path)).collect()}
+    assert got == {(2001, 1): (3, 3, 3.0), (2001, 2): (2, 2, 3.0), (2001, 4): (3, 3, 3.0)}
+    assert [any("/feed/" in file for file in files) for files in scanned] == [True] + [False] * (len(scanned) - 1) and len(scanned) == 5
