@@ -151,3 +151,15 @@ def test_registry_history_sorts_no_rows(spark, plan_of):
     got = features.registry_history(seen, "202503")
     assert "SortAggregate" not in plan_of(got)
     assert {r["entity_id"]: (r["status_changed"], r["billing_changed"]) for r in got.collect()} == {1: (0, 1), 2: (0, 0)}
+
+
+def test_median_of_an_entity_is_exact_and_no_sketch(spark, plan_of):
+    """Taken from the rows in order: the middle one, the lower of two, null without amounts; annulled ones are left out."""
+    rows = [(1, f"{i}.25", None, i % 9) for i in range(60_001)] + [(2, f"{x}", None, 1) for x in (4, 1, 3, 2)] + [(2, "0", "anulada", 1), (3, "5", "anulada", 2)]
+    orders = spark.createDataFrame(rows, "contractor_id long, amount string, order_status string, buyer_id long").select(
+        "contractor_id", "buyer_id", "order_status", F.col("amount").cast("double").alias("amount"), F.to_date(F.lit("2025-03-01")).alias("issue_date")
+    )
+    made = features.contract_profiles(orders, [("202503", "2025-03-31"), ("202506", "2025-06-30")])
+    assert "percentile_approx" not in plan_of(made)
+    got = {(r["entity_id"], r["ref_month"]): r["median_amount"] for r in made.collect()}
+    assert got == {(e, m): v for e, v in ((1, 30000.25), (2, 2.0), (3, None)) for m in ("202503", "202506")}
