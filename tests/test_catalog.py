@@ -63,3 +63,21 @@ def test_plans_have_no_nested_loops_or_python(spark, plan_of, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_a_task_of_the_feed_join_takes_a_bounded_number_of_rows(spark, duck, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from lakerisk.plans import bindings
+
+    rows = duck.execute("SELECT count(*) FROM lineitem").fetchone()[0]
+    monkeypatch.setattr(bindings, "TASK_ROWS", rows // 12, raising=False)
+    monkeypatch.setattr(bindings, "SPREAD_FROM", rows // 2, raising=False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = [r["count"] for r in bindings.bind(spark, FOLDER, "feed").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == rows and max(sizes) < rows / 6
+        assert [tuple(r) for r in QUERIES["layer_losses"](spark, FOLDER).collect()] == duck.execute(ORACLE["layer_losses"]).fetchall()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
