@@ -76,7 +76,7 @@ def test_a_task_of_the_feed_join_takes_a_bounded_number_of_rows(spark, duck, mon
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        sizes = [r["count"] for r in bindings.bind(spark, FOLDER, "feed").groupBy(F.spark_partition_id()).count().collect()]
+        sizes = [r["count"] for r in bindings.bind_spread(spark, FOLDER, "feed").groupBy(F.spark_partition_id()).count().collect()]
         assert sum(sizes) == rows and max(sizes) < rows / 6
         assert [tuple(r) for r in QUERIES["layer_losses"](spark, FOLDER).collect()] == duck.execute(ORACLE["layer_losses"]).fetchall()
     finally:

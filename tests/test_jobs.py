@@ -239,3 +239,28 @@ def test_roundtrip_makes_the_feed_once(spark, tmp_path, monkeypatch):
     got = {(r["year"], r["month"]): (r["rows"], r["committed_rows"], r["amount"]) for r in lake_queries.publish_roundtrip(spark, str(tmp_path)).collect()}
     assert got == {(2001, 1): (3, 3, 3.0), (2001, 2): (2, 2, 3.0), (2001, 4): (3, 3, 3.0)}
     assert [any("/feed/" in file for file in files) for files in scanned] == [True] + [False] * (len(scanned) - 1) and len(scanned) == 5
+
+
+def test_incremental_loads_make_the_feed_and_read_the_parsed_rows_once(spark, tmp_path, monkeypatch):
+    """Both raw loads are one write with few files a month, and each side of an ingest is one scan of the parsed rows."""
+    rows = [("OC-1", 20000000001, None, "20000000002", 1.5, None, None, 1996, m, n) for m in range(1, 13) for n in range(1, 9)]
+    types = "order_no string, buyer_id long, buyer_name string, contractor_id string, amount double, currency string, order_status string, year int, month int, line_no int"
+    feed = spark.createDataFrame(rows, types).withColumn("issue_date", F.lit("1996-01-31").cast("date")).repartition(8)
+    for name in ("bind", "bind_spread"):
+        monkeypatch.setattr(lake_queries, name, lambda s, d, name: feed, raising=False)
+    folders, scans, write, stage = [], [], lake_queries._write_raw, Publication.stage
+    monkeypatch.setattr(lake_queries, "_write_raw", lambda df, path, *a: folders.append(path) or write(df, path, *a))
+    scanned = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+    monkeypatch.setattr(Publication, "stage", lambda self, layer, name, df, *a, **k: scans.append(scanned(df)) or stage(self, layer, name, df, *a, **k))
+    got = {r["month"]: (r["n_clean"], r["n_rejected"]) for r in lake_queries.ingest_incremental(spark, str(tmp_path)).collect()}
+    assert got == {1: (0, 8), 2: (3, 0)} | {m: (7, 1) for m in range(3, 13)}
+    assert len(folders) == 1 and scans == [1] * 4
+    files = [f for f in spark.read.option("recursiveFileLookup", True).text(folders[0]).inputFiles()]
+    assert len(files) == 6 + 8
+
+
+def test_checksum_is_the_sum_of_the_row_hashes(spark, small_lake):
+    paths, rows = small_lake
+    hashes = rows.select("month", "kind", F.pmod(F.xxhash64("id", "month", "kind"), F.lit(1 << 31)).alias("h")).collect()
+    total = sum(int(p["checksum"]) for p in parts_table(spark, paths, "silver", "orders").collect())
+    assert total == sum(r["h"] for r in hashes) > 1 << 31
