@@ -163,3 +163,22 @@ def test_median_of_an_entity_is_exact_and_no_sketch(spark, plan_of):
     assert "percentile_approx" not in plan_of(made)
     got = {(r["entity_id"], r["ref_month"]): r["median_amount"] for r in made.collect()}
     assert got == {(e, m): v for e, v in ((1, 30000.25), (2, 2.0), (3, None)) for m in ("202503", "202506")}
+
+
+def _orders_of_many_amounts(spark):
+    """Entity 1 has 120 001 unlike amounts, the lower even ones known in March and all in June; 3 has 1 200 annulled orders."""
+    many = spark.range(120_001).select(F.lit(1).alias("contractor_id"), (F.col("id") * 7919 % 120_001).alias("x"), F.lit(None).cast("string").alias("order_status"))
+    few = spark.createDataFrame([(2, x, None) for x in (4, 1, 3, 2)] + [(3, 5, "anulada")] * 1200, "contractor_id int, x long, order_status string")
+    early = (F.col("contractor_id") == 1) & (F.col("x") % 2 == 0) & (F.col("x") < 119_998)
+    day = F.to_date(F.when(early, "2025-03-01").otherwise("2025-06-01"))
+    return many.unionByName(few).select("*", (F.col("x") + 0.25).alias("amount"), (F.col("x") % 9).alias("buyer_id"), day.alias("issue_date"))
+
+
+def test_median_of_a_large_entity_is_exact_too(spark, plan_of):
+    """Entities above the limit are spread over tasks; their medians equal those of the middle row at every cut-off."""
+    cutoffs = [("202503", "2025-03-31"), ("202506", "2025-06-30")]
+    whole, spread = (features.contract_profiles(_orders_of_many_amounts(spark), cutoffs, most) for most in (1_000_000, 1000))
+    shown = lambda df: {(r["entity_id"], r["ref_month"]): r["median_amount"] for r in df.collect()}
+    exact = {(1, "202503"): 59998.25, (1, "202506"): 60000.25, (2, "202506"): 2.25, (3, "202506"): None}
+    assert shown(whole) == exact and shown(spread) == exact
+    assert "percentile_approx" not in plan_of(spread)
