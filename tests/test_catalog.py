@@ -81,3 +81,32 @@ def test_a_task_of_the_feed_join_takes_a_bounded_number_of_rows(spark, duck, mon
         assert [tuple(r) for r in QUERIES["layer_losses"](spark, FOLDER).collect()] == duck.execute(ORACLE["layer_losses"]).fetchall()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.fixture(scope="module")
+def large_entities(tmp_path_factory):
+    """A folder whose 30 copies of the orders belong to three of five customers: about 60 000 facts each, of unlike amounts."""
+    folder, db = tmp_path_factory.mktemp("large"), duckdb.connect()
+    copied = {t: f"SELECT * FROM '{FOLDER}/{t}.parquet'" for t in TABLES}
+    copied["customer"] += " WHERE c_custkey <= 5"
+    copied["orders"] = f"SELECT * REPLACE (o_orderkey + k * 1000000 AS o_orderkey, 1 + o_orderkey % 3 AS o_custkey) FROM ({copied['orders']}), range(30) t(k)"
+    copied["lineitem"] = f"""SELECT * REPLACE (l_orderkey + k * 1000000 AS l_orderkey, round(l_extendedprice + k * 0.37, 2) AS l_extendedprice)
+        FROM ({copied['lineitem']}), range(30) t(k)"""
+    for t, rows in copied.items():
+        db.execute(f"COPY (SELECT * {'EXCLUDE (k)' if t in ('orders', 'lineitem') else ''} FROM ({rows})) TO '{folder}/{t}.parquet' (FORMAT parquet)")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["feature_table", "feature_table_multi_cutoff"])
+def test_query_equals_sql_where_entities_are_large(spark, large_entities, monkeypatch, name):
+    from functools import partial
+
+    from lakerisk.operators import features
+
+    monkeypatch.setattr(features, "contract_profiles", partial(features.contract_profiles, most=1000))
+    db = duckdb.connect()
+    for t in TABLES:
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{large_entities}/{t}.parquet'")
+    ours, theirs = QUERIES[name](spark, large_entities), db.execute(ORACLE[name])
+    columns = [c[0] for c in theirs.description]
+    assert sorted(map(repr, map(tuple, ours.select(*columns).collect()))) == sorted(map(repr, theirs.fetchall()))
