@@ -85,11 +85,13 @@ def test_a_task_of_the_feed_join_takes_a_bounded_number_of_rows(spark, duck, mon
 
 @pytest.fixture(scope="module")
 def large_entities(tmp_path_factory):
-    """A folder whose 30 copies of the orders belong to three of five customers: about 60 000 facts each, of unlike amounts."""
+    """30 copies of the orders, most of them of three of five customers: about 60 000 facts each, of unlike amounts.
+    The other two are in the label register."""
     folder, db = tmp_path_factory.mktemp("large"), duckdb.connect()
     copied = {t: f"SELECT * FROM '{FOLDER}/{t}.parquet'" for t in TABLES}
-    copied["customer"] += " WHERE c_custkey <= 5"
-    copied["orders"] = f"SELECT * REPLACE (o_orderkey + k * 1000000 AS o_orderkey, 1 + o_orderkey % 3 AS o_custkey) FROM ({copied['orders']}), range(30) t(k)"
+    copied["customer"] = f"SELECT * REPLACE (CASE WHEN c_custkey > 3 THEN 8500 ELSE 5000 END::DOUBLE AS c_acctbal) FROM ({copied['customer']}) WHERE c_custkey <= 5"
+    copied["orders"] = f"""SELECT * REPLACE (o_orderkey + k * 1000000 AS o_orderkey, CASE WHEN o_orderkey % 97 < 2 THEN 4 + o_orderkey % 97 ELSE 1 + o_orderkey % 3 END AS o_custkey)
+        FROM ({copied['orders']}), range(30) t(k)"""
     copied["lineitem"] = f"""SELECT * REPLACE (l_orderkey + k * 1000000 AS l_orderkey, round(l_extendedprice + k * 0.37, 2) AS l_extendedprice)
         FROM ({copied['lineitem']}), range(30) t(k)"""
     for t, rows in copied.items():
@@ -110,3 +112,18 @@ def test_query_equals_sql_where_entities_are_large(spark, large_entities, monkey
     ours, theirs = QUERIES[name](spark, large_entities), db.execute(ORACLE[name])
     columns = [c[0] for c in theirs.description]
     assert sorted(map(repr, map(tuple, ours.select(*columns).collect()))) == sorted(map(repr, theirs.fetchall()))
+
+
+def test_models_learn_from_exact_medians_of_large_entities(spark, large_entities, monkeypatch):
+    """The rows that model_forward_validation and the other model queries learn from; these have no SQL themselves."""
+    from functools import partial
+
+    from lakerisk.operators import features
+
+    monkeypatch.setattr(features, "contract_profiles", partial(features.contract_profiles, most=1000))
+    db = duckdb.connect()
+    for t in TABLES:
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{large_entities}/{t}.parquet'")
+    want = dict(db.execute(f"SELECT entity_id, median_amount FROM ({ORACLE['feature_table']}) WHERE n_orders > 1000").fetchall())
+    got = catalog._model_rows(spark, large_entities).filter("n_orders > 1000").select("entity_id", "median_amount").collect()
+    assert len(got) > 1 and all(r["median_amount"] == want[r["entity_id"]] for r in got)
