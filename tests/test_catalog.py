@@ -99,7 +99,7 @@ def large_entities(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["feature_table", "feature_table_multi_cutoff", "preparation_fitted"])
+@pytest.mark.parametrize("name", ["contract_profile", "feature_table", "feature_table_multi_cutoff", "preparation_fitted"])
 def test_query_equals_sql_where_entities_are_large(spark, large_entities, monkeypatch, name):
     from functools import partial
 

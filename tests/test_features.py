@@ -182,3 +182,14 @@ def test_median_of_a_large_entity_is_exact_too(spark, plan_of):
     exact = {(1, "202503"): 59998.25, (1, "202506"): 60000.25, (2, "202506"): 2.25, (3, "202506"): None}
     assert shown(whole) == exact and shown(spread) == exact
     assert "percentile_approx" not in plan_of(spread)
+
+
+def test_profile_of_one_date_has_the_exact_median_too(spark, plan_of):
+    """Below and above the limit, at a date and over everything; an order without a date counts only in the latter."""
+    made = _orders_of_many_amounts(spark)
+    undated = made.limit(1).select(F.lit(4).alias("contractor_id"), "x", "order_status", F.lit(7.0).alias("amount"), "buyer_id", F.lit(None).cast("date").alias("issue_date"))
+    for most in (1_000_000, 1000):
+        everything, march = (features.contract_profile(made.unionByName(undated), date, most) for date in (None, "2025-03-31"))
+        assert "percentile_approx" not in plan_of(everything)
+        assert {r["entity_id"]: r["median_amount"] for r in everything.collect()} == {1: 60000.25, 2: 2.25, 3: None, 4: 7.0}
+        assert {r["entity_id"]: r["median_amount"] for r in march.collect()} == {1: 59998.25}
